@@ -8,10 +8,12 @@ query-vector pair ever becomes a row and only k rows per query and block shuffle
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,9 @@ from tidemark.operators.lanes import latest_per_key
 
 METRICS = ("l2", "cosine")
 
+# Executors get these helpers inside the task, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def latest_vectors(vectors: DataFrame, *, id: str = "id", version: str = "updated_at") -> DataFrame:
     """The table after upserts: the newest row of each id."""
