@@ -44,11 +44,13 @@ def month_manifest(batches: DataFrame, *, start: str | None = None) -> DataFrame
     """
     names = batches.select("batch").distinct()
     if start is None:
-        first_day = F.concat(F.col("batch"), F.lit("-01")).try_cast("date")
-    else:
-        number = F.regexp_extract("batch", r"(\d+)$", 1).try_cast("int")
-        first_day = F.add_months(F.lit(f"{start}-01").cast("date"), number)
-    return names.withColumn("period_start", first_day)
+        return names.withColumn("period_start", _named_month())
+    number = F.regexp_extract("batch", r"(\d+)$", 1).try_cast("int")
+    return names.withColumn("period_start", F.add_months(F.lit(f"{start}-01").cast("date"), number))
+
+
+def _named_month() -> Column:
+    return F.concat(F.col("batch"), F.lit("-01")).try_cast("date")
 
 
 def _n(flag: Column) -> Column:
@@ -59,17 +61,18 @@ def _n(flag: Column) -> Column:
 def batch_facts(
     events: DataFrame,
     known_customers: DataFrame,
-    manifest: DataFrame,
+    manifest: DataFrame | None = None,
     *,
     segments: tuple[str, ...] = VALID_SEGMENTS,
     as_of: Column | None = None,
     prior_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """One row of counts per batch of the manifest or the events.
+    """One row of counts per batch of the events and of the manifest, if there is one.
 
-    `known_customers` has customer_id. `manifest` has batch, period_start. Events later
-    than `as_of`, if given, are counted in n_future. `prior_counts` (segment_at_event, n)
-    stands for the batch before the first one.
+    `known_customers` has customer_id. `manifest` has batch, period_start; without it
+    batches are named for their month, yyyy-MM. Events later than `as_of`, if given, are
+    counted as future. `prior_counts` (segment_at_event, n) stands for the batch before
+    the first one.
     """
     events, absent = declare_fields(events)
 
@@ -102,9 +105,12 @@ def batch_facts(
         )
     )
     summed = [c for c in by_month.columns if c not in ("batch", "month", "n")]
+    if manifest is None:
+        by_month = by_month.withColumn("period_start", _named_month())
+    else:
+        by_month = by_month.join(manifest.select("batch", "period_start"), "batch", "full_outer")
     by_batch = (
-        by_month.join(manifest.select("batch", "period_start"), "batch", "full_outer")
-        .groupBy("batch")
+        by_month.groupBy("batch")
         .agg(
             F.max("period_start").alias("period_start"),
             _n(F.col("month") == F.col("period_start")).alias("n_in_period"),
@@ -282,7 +288,7 @@ def gate_scorecard(
     facts = batch_facts(
         events,
         known_customers,
-        month_manifest(events) if manifest is None else manifest,
+        manifest,
         segments=segments,
         as_of=as_of,
         prior_counts=prior_counts,

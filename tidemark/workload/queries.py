@@ -96,7 +96,7 @@ def fact_by_segment(spark, sf):
 
 def _facts(spark, sf):
     events = i.loaded_events(spark, sf)
-    return gates.batch_facts(events, i.known_customers(spark, sf), gates.month_manifest(events), **DOMAIN)
+    return gates.batch_facts(events, i.known_customers(spark, sf), **DOMAIN)
 
 
 def _scorecard(spark, sf):
