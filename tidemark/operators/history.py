@@ -95,35 +95,40 @@ def overlap_audit(history: DataFrame, *, lane: str = "day", limit: int | None =
     Returns customer_id, valid_from, n_starting, n_open. Two versions with different
     valid_from overlap exactly when the later one starts before the earlier one ends,
     so the sum of n_starting * n_open is the number of overlapping pairs; no pair is
-    ever formed. Versions that end before they start are `inverted_ranges`' business
-    and count as empty here.
+    ever formed. A version that ends no later than it starts is never open; one that
+    ends before it starts is what `inverted_ranges` reports.
     """
-    starts = F.struct(
-        F.col("valid_from").alias("at"),
-        F.lit(1).cast("bigint").alias("starting"),
-        F.lit(0).cast("bigint").alias("ending"),
-    )
-    ends = F.struct(
-        F.greatest("valid_to", "valid_from").alias("at"),
-        F.lit(0).cast("bigint").alias("starting"),
-        F.lit(1).cast("bigint").alias("ending"),
-    )
-    both = F.when(F.col("valid_to").isNull(), F.array(starts)).otherwise(F.array(starts, ends))
+    lasts = F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))
+
+    def turn(at: str, starting, opening, closing):
+        counts = [("starting", starting), ("opening", opening), ("closing", closing)]
+        return F.struct(F.col(at).alias("at"), *[c.cast("bigint").alias(name) for name, c in counts])
+
+    zero, one = F.lit(0), F.lit(1)
+    start = turn("valid_from", one, lasts.cast("int"), zero)
+    end = turn("valid_to", zero, zero, one)
     turns = (
-        history.select("customer_id", F.inline(both))
+        history.select(
+            "customer_id",
+            F.inline(F.when(lasts & F.col("valid_to").isNotNull(), F.array(start, end)).otherwise(F.array(start))),
+        )
         .groupBy("customer_id", "at")
-        .agg(F.sum("starting").alias("n_starting"), F.sum("ending").alias("_ending"))
+        .agg(
+            F.sum("starting").alias("n_starting"),
+            F.sum("opening").alias("_opening"),
+            F.sum("closing").alias("_closing"),
+        )
     )
     swept = running_total(
         turns,
         key="customer_id",
         ts="at",
-        value=F.col("n_starting") - F.col("_ending"),
+        value=F.col("_opening") - F.col("_closing"),
         out="_open",
         lane=lane,
     )
     found = (
-        swept.withColumn("n_open", F.col("_open") - F.col("n_starting"))
+        swept.withColumn("n_open", F.col("_open") - F.col("_opening"))
         .where((F.col("n_starting") > 0) & (F.col("n_open") > 0))
         .select("customer_id", F.col("at").alias("valid_from"), "n_starting", "n_open")
     )
