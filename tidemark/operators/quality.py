@@ -30,12 +30,14 @@ def score(evaluated: DataFrame) -> DataFrame:
 
     Without any check overall is 0.0.
     """
-    rate = F.coalesce(F.round(F.avg(F.col("passed").cast("int")), 4), F.lit(0.0))
-    return (
-        evaluated.groupingSets([["dimension"], []], "dimension")
-        .agg(F.grouping("dimension").alias("_all"), rate.alias("score"))
-        .select(F.when(F.col("_all") == 1, "overall").otherwise(F.col("dimension")).alias("dimension"), "score")
+    by_dimension = evaluated.groupBy("dimension").agg(
+        F.count_if("passed").alias("n_passed"), F.count("*").alias("n_checks")
     )
+    # An aggregate without keys has a row even when there are no checks; grouping sets have none.
+    overall = by_dimension.agg(F.sum("n_passed").alias("n_passed"), F.sum("n_checks").alias("n_checks"))
+    counts = by_dimension.unionByName(overall.withColumn("dimension", F.lit("overall")))
+    rate = F.col("n_passed") / F.nullif(F.col("n_checks"), F.lit(0)).cast("double")
+    return counts.select("dimension", F.coalesce(F.round(rate, 4), F.lit(0.0)).alias("score"))
 
 
 def failed_checks(evaluated: DataFrame) -> DataFrame:
