@@ -44,18 +44,21 @@ def month_manifest(batches: DataFrame, *, start: str | None = None) -> DataFrame
     """
     names = batches.select("batch").distinct()
     if start is None:
-        return names.withColumn("period_start", _named_month())
+        return names.withColumn("period_start", F.expr(NAMED_MONTH))
     number = F.regexp_extract("batch", r"(\d+)$", 1).try_cast("int")
     return names.withColumn("period_start", F.add_months(F.lit(f"{start}-01").cast("date"), number))
 
 
-def _named_month() -> Column:
-    return F.concat(F.col("batch"), F.lit("-01")).try_cast("date")
+NAMED_MONTH = "try_cast(concat(batch, '-01') AS date)"
 
 
-def _n(flag: Column) -> Column:
-    """Events of the grouped rows for which the flag holds."""
-    return F.coalesce(F.sum(F.when(flag, F.col("n"))), F.lit(0)).cast("bigint")
+def _exprs(**named: str) -> list[Column]:
+    """Aliased SQL expressions. One call each keeps building the plan quick."""
+    return [F.expr(text).alias(name) for name, text in named.items()]
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def batch_facts(
@@ -75,71 +78,76 @@ def batch_facts(
     the first one.
     """
     events, absent = declare_fields(events)
-
-    def share_counts() -> list[Column]:
-        return [_n(F.col("segment_at_event") == s).alias(f"n_segment_{i}") for i, s in enumerate(segments)]
+    domain = ", ".join(_quoted(s) for s in segments)
+    share_counts = {
+        f"n_segment_{i}": f"sum(CASE WHEN segment_at_event = {_quoted(s)} THEN n ELSE 0 END)"
+        for i, s in enumerate(segments)
+    }
 
     by_customer = events.groupBy(
         "batch", "customer_id", "segment_at_event", month_of(F.col("event_ts")).alias("month")
     ).agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("event_type").isNull()).alias("null_type"),
-        F.count_if(F.col("ts").isNull()).alias("null_ts"),
-        F.count_if(F.col("ts").isNotNull() & F.col("event_ts").isNull()).alias("bad_ts"),
-        F.count_if(F.col("amount_cents") < 0).alias("negative"),
-        F.count_if(F.col("event_ts") > as_of if as_of is not None else F.lit(False)).alias("future"),
+        *_exprs(
+            n="count(*)",
+            null_type="count_if(event_type IS NULL)",
+            null_ts="count_if(ts IS NULL)",
+            bad_ts="count_if(ts IS NOT NULL AND event_ts IS NULL)",
+            negative="count_if(amount_cents < 0)",
+        ),
+        F.count_if(F.lit(False) if as_of is None else F.col("event_ts") > as_of).alias("future"),
     )
     known = known_customers.select("customer_id").na.drop().distinct().withColumn("known", F.lit(True))
-    segment = F.col("segment_at_event")
     by_month = (
         by_customer.join(known, "customer_id", "left")
         .groupBy("batch", "month")
         .agg(
-            F.sum("n").alias("n"),
-            _n(F.col("customer_id").isNull()).alias("null_customer"),
-            _n(segment.isNull()).alias("null_segment"),
-            _n(F.col("customer_id").isNotNull() & F.col("known").isNull()).alias("n_orphans"),
-            _n(segment.isNotNull() & ~segment.isin(*segments)).alias("n_unknown_segment"),
-            *[F.sum(c).alias(c) for c in ("null_type", "null_ts", "bad_ts", "negative", "future")],
-            *share_counts(),
+            *_exprs(
+                n="sum(n)",
+                null_customer="sum(CASE WHEN customer_id IS NULL THEN n ELSE 0 END)",
+                null_segment="sum(CASE WHEN segment_at_event IS NULL THEN n ELSE 0 END)",
+                n_orphans="sum(CASE WHEN customer_id IS NOT NULL AND known IS NULL THEN n ELSE 0 END)",
+                n_unknown_segment=f"sum(CASE WHEN segment_at_event NOT IN ({domain}) THEN n ELSE 0 END)",
+                **{c: f"sum({c})" for c in ("null_type", "null_ts", "bad_ts", "negative", "future")},
+                **share_counts,
+            )
         )
     )
-    summed = [c for c in by_month.columns if c not in ("batch", "month", "n")]
     if manifest is None:
-        by_month = by_month.withColumn("period_start", _named_month())
+        by_month = by_month.withColumn("period_start", F.expr(NAMED_MONTH))
     else:
         by_month = by_month.join(manifest.select("batch", "period_start"), "batch", "full_outer")
-    by_batch = (
-        by_month.groupBy("batch")
-        .agg(
-            F.max("period_start").alias("period_start"),
-            _n(F.col("month") == F.col("period_start")).alias("n_in_period"),
-            *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in summed],
+    summed = [c for c in by_month.columns if c not in ("batch", "month", "n", "period_start")]
+    by_batch = by_month.groupBy("batch").agg(
+        *_exprs(
+            period_start="max(period_start)",
+            n_in_period="coalesce(sum(CASE WHEN month = period_start THEN n END), 0)",
+            **{c: f"coalesce(sum({c}), 0)" for c in summed},
         )
     )
 
-    has_null = F.count_if(F.col("event_id").isNull())
     by_id = events.groupBy("batch").agg(
-        F.count("*").alias("n_rows"),
-        has_null.alias("null_id"),
-        # distinct() in a scan of ids sees one more value when there are nulls
-        (F.countDistinct("event_id") + F.least(has_null, F.lit(1))).alias("n_ids"),
+        *_exprs(
+            n_rows="count(*)",
+            null_id="count_if(event_id IS NULL)",
+            # a distinct list of ids has one more entry when some are null
+            n_ids="count(DISTINCT event_id) + least(count_if(event_id IS NULL), 1)",
+        )
+    )
+    facts = (
+        by_batch.join(by_id, "batch", "left")
+        .na.fill(0, ["n_rows", "null_id", "n_ids"])
+        .withColumn("absent", F.lit(absent) if absent else F.expr("CAST(array() AS array<string>)"))
     )
-    facts = by_batch.join(by_id, "batch", "left").na.fill(0, ["n_rows", "null_id", "n_ids"])
-    # Carried as a value so that later steps need no side channel.
-    facts = facts.withColumn("absent", F.array(*[F.lit(a) for a in absent]).cast("array<string>"))
-    return _with_prior(facts, segments, share_counts, prior_counts)
+    return _with_prior(facts, share_counts, prior_counts)
 
 
-def _with_prior(facts, segments, share_counts, prior_counts):
+def _with_prior(facts: DataFrame, share_counts: dict[str, str], prior_counts: DataFrame | None) -> DataFrame:
     """Segment counts of each batch and of the batch before it, as arrays in domain order."""
-    names = [f"n_segment_{i}" for i in range(len(segments))]
+    names = list(share_counts)
     facts = facts.withColumn("segment_counts", F.array(*names)).drop(*names).withColumn("is_prior", F.lit(False))
     if prior_counts is not None:
-        given = prior_counts.agg(F.sum("n").alias("n_rows"), *share_counts()).select(
-            F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
-            F.array(*names).alias("segment_counts"),
-            F.lit(True).alias("is_prior"),
+        given = prior_counts.agg(*_exprs(n_rows="coalesce(sum(n), 0)", **share_counts)).select(
+            "n_rows", F.array(*names).alias("segment_counts"), F.lit(True).alias("is_prior")
         )
         facts = facts.unionByName(given, allowMissingColumns=True)
     # One row per batch reaches this window, so a single partition is enough.
@@ -147,30 +155,20 @@ def _with_prior(facts, segments, share_counts, prior_counts):
     return (
         facts.withColumn("prior_rows", F.lag("n_rows").over(in_order))
         .withColumn("prior_segment_counts", F.lag("segment_counts").over(in_order))
-        .where(~F.col("is_prior"))
+        .where("NOT is_prior")
         .drop("is_prior")
     )
 
 
-def _share(counts: Column, i: int, rows: Column) -> Column:
-    return counts[i] / F.greatest(rows, F.lit(1)).cast("double")
-
-
-def _drift(segments) -> Column:
+def _drift(segments: tuple[str, ...]) -> Column:
     """Array of (segment, share, prior_share, drift) in domain order."""
-    items = []
-    for i, name in enumerate(segments):
-        share = _share(F.col("segment_counts"), i, F.col("n_rows"))
-        prior = _share(F.col("prior_segment_counts"), i, F.col("prior_rows"))
-        items.append(
-            F.struct(
-                F.lit(name).alias("segment"),
-                share.alias("share"),
-                prior.alias("prior_share"),
-                F.abs(share - prior).alias("drift"),
-            )
-        )
-    return F.array(*items)
+    share = "CAST({}[i] AS DOUBLE) / greatest({}, 1)"
+    now = share.format("segment_counts", "n_rows")
+    prior = share.format("prior_segment_counts", "prior_rows")
+    return F.expr(
+        f"""transform(array({", ".join(_quoted(s) for s in segments)}), (s, i) -> named_struct(
+            'segment', s, 'share', {now}, 'prior_share', {prior}, 'drift', abs({now} - {prior})))"""
+    )
 
 
 def drift_table(
@@ -178,75 +176,41 @@ def drift_table(
 ) -> DataFrame:
     """(batch, segment, share, prior_share, drift, passed) for every batch with a prior one."""
     return (
-        facts.where(F.col("prior_rows").isNotNull())
+        facts.where("prior_rows IS NOT NULL")
         .select("batch", F.inline(_drift(segments)))
         .withColumn("passed", F.col("drift") <= max_change)
     )
 
 
-def _counted(n: Column, text: str) -> Column:
-    return F.concat(n.cast("string"), F.lit(text))
-
-
-def _verdicts(segments, max_change) -> dict[str, tuple[Column, Column]]:
-    """Gate name -> (passed, detail), as expressions over a row of `batch_facts`."""
-    c = F.col
-    nulls = {
-        "event_id": c("null_id"),
-        "customer_id": c("null_customer"),
-        "event_type": c("null_type"),
-        "segment_at_event": c("null_segment"),
-        "ts": c("null_ts"),
-    }
-    missing = [
-        F.when(F.array_contains("absent", name), F.lit(f"'{name}': 'column absent'")).when(
-            n > 0, F.concat(F.lit(f"'{name}': "), n.cast("string"))
-        )
-        for name, n in nulls.items()
-    ]
-    missing.append(F.when(c("bad_ts") > 0, F.concat(F.lit("'ts': not a timestamp in "), c("bad_ts").cast("string"))))
-    listed = F.concat_ws(", ", *missing)
-
-    copies = c("n_rows") - c("n_ids")
-    drifted = F.filter(_drift(segments), lambda d: d["drift"] > max_change)
-    first = F.get(drifted, F.lit(0))
-    no_prior = c("prior_rows").isNull()
-
-    return {
-        "required_fields": (
-            listed == "",
-            F.concat(F.lit("null/missing: {"), listed, F.lit("}")),
-        ),
-        "duplicates": (copies == 0, _counted(copies, " duplicate event_id(s)")),
-        "referential_integrity": (
-            c("n_orphans") == 0,
-            _counted(c("n_orphans"), " events reference unknown customers"),
-        ),
-        "range_outliers": (
-            (c("negative") == 0) & (c("n_unknown_segment") == 0) & (c("future") == 0),
-            F.when(c("negative") > 0, _counted(c("negative"), " events with negative amount_cents"))
-            .when(c("n_unknown_segment") > 0, _counted(c("n_unknown_segment"), " events with an unknown segment value"))
-            .otherwise(_counted(c("future"), " events with a future timestamp")),
-        ),
-        "cardinality_drift": (
-            no_prior | (F.size(drifted) == 0),
-            F.when(no_prior, "no prior month to compare").otherwise(
-                F.concat(
-                    first["segment"],
-                    F.lit(" share drifted "),
-                    F.round(first["drift"] * 100, 1).cast("string"),
-                    F.lit("%"),
-                )
-            ),
-        ),
-        "freshness": (
-            c("n_in_period") > 0,
-            F.concat(
-                F.lit("no events found for expected month "),
-                F.coalesce(F.date_format("period_start", "yyyy-MM"), F.lit("?")),
-            ),
-        ),
-    }
+# Required field -> count of its nulls in `batch_facts`, in the order they are reported.
+NULL_COUNTS = {
+    "event_id": "null_id",
+    "customer_id": "null_customer",
+    "event_type": "null_type",
+    "segment_at_event": "null_segment",
+    "ts": "null_ts",
+}
+
+# Gate -> (passes, what to say if not), over a row of `batch_facts` with `missing` and `drifted`.
+VERDICTS = {
+    "required_fields": ("missing = ''", "concat('null/missing: {', missing, '}')"),
+    "duplicates": ("n_rows = n_ids", "concat(n_rows - n_ids, ' duplicate event_id(s)')"),
+    "referential_integrity": ("n_orphans = 0", "concat(n_orphans, ' events reference unknown customers')"),
+    "range_outliers": (
+        "negative = 0 AND n_unknown_segment = 0 AND future = 0",
+        """CASE WHEN negative > 0 THEN concat(negative, ' events with negative amount_cents')
+                WHEN n_unknown_segment > 0 THEN concat(n_unknown_segment, ' events with an unknown segment value')
+                ELSE concat(future, ' events with a future timestamp') END""",
+    ),
+    "cardinality_drift": (
+        "prior_rows IS NULL OR size(drifted) = 0",
+        "concat(get(drifted, 0).segment, ' share drifted ', round(get(drifted, 0).drift * 100, 1), '%')",
+    ),
+    "freshness": (
+        "n_in_period > 0",
+        "concat('no events found for expected month ', coalesce(date_format(period_start, 'yyyy-MM'), '?'))",
+    ),
+}
 
 
 def scorecard_of(
@@ -257,20 +221,29 @@ def scorecard_of(
     gates: tuple[str, ...] = GATES,
 ) -> DataFrame:
     """(batch, seq, gate, passed, detail) from `batch_facts`; seq is the gate's place in GATES."""
-    verdicts = _verdicts(segments, max_change)
+    missing = ", ".join(
+        f"""CASE WHEN array_contains(absent, '{field}') THEN "'{field}': 'column absent'"
+                 WHEN {n} > 0 THEN concat("'{field}': ", {n}) END"""
+        for field, n in NULL_COUNTS.items()
+    )
+    no_time = """CASE WHEN bad_ts > 0 THEN concat("'ts': not a timestamp in ", bad_ts) END"""
+    judged = facts.withColumns(
+        {
+            "missing": F.expr(f"concat_ws(', ', {missing}, {no_time})"),
+            "drifted": F.filter(_drift(segments), lambda d: d["drift"] > max_change),
+        }
+    )
     rows = []
     for gate in gates:
-        passed, detail = verdicts[gate]
-        says = (~passed) | (detail == "no prior month to compare")
+        passes, says = VERDICTS[gate]
+        silent = "''"
+        if gate == "cardinality_drift":
+            silent = "CASE WHEN prior_rows IS NULL THEN 'no prior month to compare' ELSE '' END"
         rows.append(
-            F.struct(
-                F.lit(GATES.index(gate) + 1).alias("seq"),
-                F.lit(gate).alias("gate"),
-                passed.alias("passed"),
-                F.when(says, detail).otherwise("").alias("detail"),
-            )
+            f"""named_struct('seq', {GATES.index(gate) + 1}, 'gate', '{gate}', 'passed', {passes},
+                             'detail', CASE WHEN {passes} THEN {silent} ELSE {says} END)"""
         )
-    return facts.select("batch", F.inline(F.array(*rows)))
+    return judged.select("batch", F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def gate_scorecard(

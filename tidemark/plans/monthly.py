@@ -14,7 +14,7 @@ from tidemark.operators.facts import build_dim_offer, build_fact_engagement_dail
 from tidemark.operators.history import build_dim_customer
 from tidemark.operators.ledger import DEFAULT_SLA_SECONDS, check_run_sla
 from tidemark.operators.silver import CLEAN, silver_stats, zone_rows
-from tidemark.schemas import GOLD, LEDGER, VALID_SEGMENTS, empty_table
+from tidemark.schemas import GOLD, LEDGER, OFFER_EVENT_TYPES, VALID_SEGMENTS, empty_table
 from tidemark.sources import tables
 from tidemark.sources.bronze import read_bronze
 
@@ -42,12 +42,14 @@ class Warehouse:
         return f"{self.root}/ops"
 
 
-def gold_frames(promoted: DataFrame) -> dict[str, DataFrame]:
+def gold_frames(
+    promoted: DataFrame, *, offer_types: tuple[str, ...] = OFFER_EVENT_TYPES
+) -> dict[str, DataFrame]:
     """The three gold tables from the events of promoted batches."""
     return {
         "dim_customer": build_dim_customer(promoted),
         "fact_engagement_daily": build_fact_engagement_daily(promoted),
-        "dim_offer": build_dim_offer(promoted),
+        "dim_offer": build_dim_offer(promoted, offer_types=offer_types),
     }
 
 
@@ -68,6 +70,7 @@ def run_monthly(
     manifest: DataFrame | None = None,
     start: str | None = "2024-01",
     segments: tuple[str, ...] = VALID_SEGMENTS,
+    offer_types: tuple[str, ...] = OFFER_EVENT_TYPES,
     sla_seconds: int = DEFAULT_SLA_SECONDS,
     on_none_promoted: str = "keep",
     run_id: str | None = None,
@@ -117,7 +120,7 @@ def run_monthly(
 
     written = dict.fromkeys(GOLD, 0)
     if promoted:
-        for name, frame in gold_frames(silver.where(F.col("zone") == CLEAN)).items():
+        for name, frame in gold_frames(silver.where(F.col("zone") == CLEAN), offer_types=offer_types).items():
             written[name] = tables.write_gold(frame, warehouse.gold, name)
     elif on_none_promoted == "empty":
         for name, declared in GOLD.items():

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Building a column costs milliseconds with call sites recorded for error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

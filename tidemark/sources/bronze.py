@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import with_event_ts
-from tidemark.schemas import CORRUPT, EVENT
+from tidemark.schemas import CORRUPT, EVENT, assert_contract
 
 RAW = T.StructType([*EVENT.fields, T.StructField(CORRUPT, T.StringType())])
 LANDED = T.StructType([*RAW.fields, T.StructField("batch", T.StringType())])
@@ -28,16 +28,27 @@ def read_json_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def land_bronze(spark: SparkSession, source_dir: str, bronze_path: str) -> DataFrame:
-    """Write all `month=*.jsonl` files of a directory to the bronze table and return it."""
+    """Write all `month=*.jsonl` files of a directory to the bronze table and return it.
+
+    Batches landed before stay, except those that are landed again. A file without any
+    line has no batch and leaves an earlier one of its name in place.
+    """
     try:
         events = read_json_events(spark, f"{source_dir}/month=*.jsonl")
     except AnalysisException as missing:
         raise FileNotFoundError(f"no month=*.jsonl files found in {source_dir}") from missing
-    # Rebalancing keeps files few and even, also when one batch is far larger than the rest.
-    events.hint("rebalance", "batch").write.mode("overwrite").partitionBy("batch").parquet(bronze_path)
+    write_bronze(events, bronze_path)
     return read_bronze(spark, bronze_path)
 
 
+def write_bronze(events: DataFrame, bronze_path: str) -> None:
+    """Replace the batches of `events` in the bronze table; columns as in LANDED."""
+    assert_contract(events, LANDED, "bronze")
+    # Rebalancing keeps files few and even, also when one batch is far larger than the rest.
+    evened = events.hint("rebalance", "batch").write.mode("overwrite").partitionBy("batch")
+    evened.option("partitionOverwriteMode", "dynamic").parquet(bronze_path)
+
+
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     return with_event_ts(spark.read.schema(LANDED).parquet(bronze_path))
 
