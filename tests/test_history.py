@@ -46,15 +46,16 @@ def as_rows(df):
 @pytest.mark.parametrize("seed, n, step", [(1, 400, 3), (2, 40, 1), (3, 600, 12), (4, 5, 24)])
 def test_history_equals_brute_force(spark, lane, seed, n, step):
     rows = random_events(seed, n=n, step=step)
-    got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), lane=lane)
-    assert as_rows(got) == brute_history(rows)
+    for hot_rows in (0, 30, h.HOT_ROWS):  # all customers in lanes, some, none
+        got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), lane=lane, hot_rows=hot_rows)
+        assert as_rows(got) == brute_history(rows)
 
 
 def test_second_run_of_a_lane_closes_the_version_of_an_earlier_lane(spark):
     """Lane 2 opens with the segment carried over and changes twice inside."""
     d = [START + timedelta(hours=h) for h in (1, 25, 30, 35, 49, 73)]
     rows = [("c", s, t) for s, t in zip("AABAAC", d)]
-    got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), ordered=True).collect()
+    got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), hot_rows=0, ordered=True).collect()
     assert [(r.segment, r.valid_from, r.valid_to) for r in got] == [
         ("A", d[0], d[2]),
         ("B", d[2], d[3]),
@@ -83,7 +84,7 @@ def test_ties_give_the_same_history_for_any_input_order(spark):
     for order in range(3):
         random.Random(order).shuffle(rows)
         frame = spark.createDataFrame(rows, EVENTS).repartition(1 + order)
-        prints.add(tuple(h.fingerprint(h.build_dim_customer(frame)).first()))
+        prints.add(tuple(h.fingerprint(h.build_dim_customer(frame, hot_rows=order * 40)).first()))
     assert len(prints) == 1
 
 
@@ -163,8 +164,10 @@ def test_running_total(spark, lane):
     assert got == want
 
 
-@pytest.mark.parametrize("lane, lane_rows", [("day", 5_000_000), ("day", 3), ("hour", 1), ("month", 10)])
-def test_point_in_time_equals_brute_force(spark, lane, lane_rows):
+@pytest.mark.parametrize(
+    "lane, hot_rows, part_rows", [("day", 5_000_000, 9), ("day", 70, 9), ("day", 0, 3), ("hour", 70, 1), ("month", 0, 10)]
+)
+def test_point_in_time_equals_brute_force(spark, lane, hot_rows, part_rows):
     rng = random.Random(9)
     versions = brute_history(random_events(21, n=60, customers=3, hours=24 * 10))
     asked = [
@@ -184,7 +187,8 @@ def test_point_in_time_equals_brute_force(spark, lane, lane_rows):
         spark.createDataFrame(asked, "event_id int, customer_id string, event_ts timestamp_ntz"),
         spark.createDataFrame(versions, VERSIONS),
         lane=lane,
-        lane_rows=lane_rows,
+        hot_rows=hot_rows,
+        part_rows=part_rows,
     )
     assert got.columns == ["event_id", "customer_id", "event_ts", "segment", "valid_from"]
     assert {r.event_id: (r.segment, r.valid_from) for r in got.collect()} == {i: truth(c, t) for i, c, t in asked}
@@ -203,7 +207,7 @@ def test_point_in_time_boundaries(spark):
 def test_point_in_time_keeps_identical_events(spark):
     asked = spark.createDataFrame([(1, "c", START)] * 7, "event_id int, customer_id string, event_ts timestamp_ntz")
     versions = spark.createDataFrame([("c", "A", START, None, True)], VERSIONS)
-    got = h.point_in_time(asked, versions, lane_rows=2).collect()
+    got = h.point_in_time(asked, versions, hot_rows=0, part_rows=2).collect()
     assert [r.segment for r in got] == ["A"] * 7
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import lane_of
-from tidemark.operators.lanes import running_total
+from tidemark.operators.lanes import HOT_ROWS, cut_lanes, hot_keys, running_total
+
+# Events without customer or time are spread over this many groups.
+IDLE_PARTS = 1024
 
 HISTORY_COLUMNS = ["customer_id", "segment", "valid_from", "valid_to", "is_current"]
 
@@ -18,6 +20,7 @@ def build_dim_customer(
     segment: str = "segment_at_event",
     ts: str = "event_ts",
     lane: str = "day",
+    hot_rows: int = HOT_ROWS,
     ordered: bool = False,
 ) -> DataFrame:
     """One row per customer and run of equal segments, half-open [valid_from, valid_to).
@@ -25,24 +28,20 @@ def build_dim_customer(
     Where one customer has several segments at one instant, the smallest counts.
     Rows without customer, segment or time cannot open a version and are ignored.
 
-    Copies collapse in the distinct before anything is sorted. Runs are then found
-    per (customer, lane). A lane's first and last run may continue in a neighbouring
-    lane and meet in a window over the customer; runs strictly inside a lane are
-    final already and keep the lane in their key, so they stay spread out.
-
-    A coarser lane (month) sends fewer rows through the last shuffle; a finer one (hour)
-    splits a very busy customer further. The result is the same.
+    Copies collapse in the distinct before anything is sorted. Runs are then found per
+    customer, or per (customer, lane) where a customer has about `hot_rows` events or
+    more. A lane's first and last run may continue in a neighbouring lane and meet in a
+    window over the customer; runs strictly inside a lane are final already and keep the
+    lane in their key, so they stay spread out. Only runs, not events, take part in
+    that second shuffle.
     """
-    points = (
-        events.select(
-            F.col(customer).alias("customer_id"),
-            F.col(segment).alias("segment"),
-            F.col(ts).alias("valid_from"),
-        )
-        .na.drop()
-        .distinct()
-        .withColumn("_lane", lane_of(F.col("valid_from"), lane))
-    )
+    points = events.select(
+        F.col(customer).alias("customer_id"),
+        F.col(segment).alias("segment"),
+        F.col(ts).alias("valid_from"),
+    ).na.drop()
+    hot = hot_keys(points, "customer_id", F.xxhash64("customer_id", "valid_from"), hot_rows)
+    points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot, lane)
 
     in_lane = Window.partitionBy("customer_id", "_lane").orderBy("valid_from", "segment")
     one_per_instant = points.withColumn("_before", F.lag("valid_from").over(in_lane)).where(
@@ -177,46 +176,53 @@ def point_in_time(
     ts: str = "event_ts",
     spread_by: list[str] | None = None,
     lane: str = "day",
-    lane_rows: int = 5_000_000,
+    hot_rows: int = HOT_ROWS,
+    part_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every event with the `segment` and `valid_from` of the version in force at its time.
 
     An event before the customer's first version gets that first version; an event of
-    a customer without history gets nulls.
-
-    Events are never paired with a customer's versions. Each (customer, lane) gets one
-    carry row with the version open when the lane begins, and a window over the lane
-    passes versions on to the events behind them. A (customer, lane) with more than
-    `lane_rows` events is split by a hash of `spread_by` (all event columns unless
-    given), with its versions repeated in each part.
+    a customer without history, or without a time, gets nulls.
+
+    Events are never paired with a customer's versions. Both go into one window in order
+    of time, which passes versions on to the events behind them. Customers with about
+    `hot_rows` rows or more have one window per lane, which starts from a carry row with
+    the version open when the lane begins. A lane with more than `part_rows` events
+    is split by a hash of `spread_by` (all event columns unless given), with its versions
+    repeated in each part.
     """
-    version = F.struct("valid_from", "segment")
     versions = history.where(F.col("customer_id").isNotNull() & F.col("valid_from").isNotNull()).select(
         F.col("customer_id").alias("_key"),
-        lane_of(F.col("valid_from"), lane).alias("_lane"),
         F.col("valid_from").alias("_at"),
-        version.alias("_version"),
+        F.xxhash64("customer_id", "valid_from").alias("_spread"),
+        F.struct("valid_from", "segment").alias("_version"),
     )
-    keyed = events.select(
+    asked = events.select(
         F.col(customer).alias("_key"),
-        lane_of(F.col(ts), lane).alias("_lane"),
         F.col(ts).alias("_at"),
         F.xxhash64(*(spread_by or events.columns)).alias("_spread"),
         F.struct(*events.columns).alias("_event"),
     )
-    usable = F.col("_key").isNotNull() & F.col("_at").isNotNull() & F.col("_lane").isNotNull()
-
-    probes = keyed.where(usable).groupBy("_key", "_lane").agg(F.count("*").alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(lane_rows)).cast("int")
-
-    # One row per (customer, lane) that holds events or version starts; per customer
-    # that is at most the number of lanes in the calendar.
-    by_lane = versions.groupBy("_key", "_lane").agg(F.min("_version").alias("_head"), F.max("_version").alias("_tail"))
+    both_sides = asked.select("_key", "_spread").unionByName(versions.select("_key", "_spread"))
+    hot = hot_keys(both_sides, "_key", F.col("_spread"), hot_rows)
+    asked = cut_lanes(asked, "_key", "_at", hot, lane)
+    versions = cut_lanes(versions.drop("_spread"), "_key", "_at", hot, lane)
+
+    # Of hot customers: one row per lane that holds events or version starts. Per
+    # customer that is at most the number of lanes in the calendar.
+    in_lane = F.col("_lane").isNotNull()
+    lane_events = asked.where(in_lane).groupBy("_key", "_lane").agg(F.count("*").alias("_n"))
+    lane_versions = (
+        versions.where(in_lane)
+        .groupBy("_key", "_lane")
+        .agg(F.min("_version").alias("_head"), F.max("_version").alias("_tail"))
+    )
+    parts = F.ceil(F.col("_n") / F.lit(part_rows)).cast("int")
     timeline = Window.partitionBy("_key").orderBy("_lane")
     before = timeline.rowsBetween(Window.unboundedPreceding, -1)
     whole = timeline.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = (
-        probes.join(by_lane, ["_key", "_lane"], "full_outer")
+        lane_events.join(lane_versions, ["_key", "_lane"], "full_outer")
         .withColumn("_open", F.last("_tail", ignorenulls=True).over(before))
         .withColumn("_first", F.first("_head", ignorenulls=True).over(whole))
         .where(F.col("_n").isNotNull())
@@ -229,38 +235,35 @@ def point_in_time(
         )
     )
 
-    # At most (all events / lane_rows) rows pass this filter, which bounds the broadcast.
-    split = F.broadcast(probes.where(F.col("_n") > lane_rows).select("_key", "_lane", parts.alias("_parts")))
+    # At most (all events / part_rows) lanes are that large, which bounds the broadcast.
+    large = lane_events.where(F.col("_n") > part_rows).select("_key", "_lane", parts.alias("_parts"))
+    split = F.broadcast(large)
+    n_parts = F.coalesce("_parts", F.lit(1))
+    usable = F.col("_key").isNotNull() & F.col("_at").isNotNull()
     starts = (
         versions.join(split, ["_key", "_lane"], "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
         .withColumn("_kind", F.lit(1))
         .drop("_parts")
     )
     asked = (
-        keyed.join(split, ["_key", "_lane"], "left")
-        # Rows that cannot match need no neighbours, so they go anywhere.
-        .withColumn(
-            "_part",
-            F.when(usable, F.pmod("_spread", F.coalesce("_parts", F.lit(1))))
-            .otherwise(F.pmod("_spread", F.lit(1024)))
-            .cast("int"),
-        )
+        asked.join(split, ["_key", "_lane"], "left")
+        # Rows that can match no version need no neighbours, so they go anywhere.
+        .withColumn("_part", F.pmod("_spread", F.when(usable, n_parts).otherwise(IDLE_PARTS)).cast("int"))
         .withColumn("_kind", F.lit(2))
         .drop("_parts", "_spread")
     )
 
-    in_part = (
-        Window.partitionBy("_key", "_lane", "_part")
-        .orderBy("_at", "_kind", "_version")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = F.when(usable, F.last("_version", ignorenulls=True).over(in_part))
+    part = Window.partitionBy("_key", "_lane", "_part")
+    # The carry row has no time and so sorts before the rest of its lane.
+    so_far = part.orderBy("_at", "_kind", "_version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         asked.unionByName(starts, allowMissingColumns=True)
         .unionByName(carry, allowMissingColumns=True)
-        .withColumn("_found", found)
+        .withColumn("_last", F.last("_version", ignorenulls=True).over(so_far))
+        .withColumn("_first", F.min("_version").over(part))
         .where(F.col("_kind") == 2)
+        .withColumn("_found", F.when(usable, F.coalesce("_last", "_first")))
         .select("_event.*", "_found.segment", "_found.valid_from")
     )
 

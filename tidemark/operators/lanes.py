@@ -1,11 +1,12 @@
 """Ordered computations that do not put one key's whole history in one task.
 
 A plain window over `partitionBy(key)` sorts every row of a key in a single
-task, so a key with a third of all rows stalls the job. These helpers cut each
+task, so a key with a third of all rows stalls the job. These helpers cut a hot
 key's timeline into lanes (a calendar day by default). The row-level window is
 partitioned by (key, lane). What has to pass from lane to lane is first reduced
-to one row per lane; only those rows meet in a window over the key alone, and
-their number is bounded by the calendar, not by the data.
+to a row or two per lane; only those rows meet in a window over the key alone, and
+their number is bounded by the calendar, not by the data. Other keys have no lanes
+and pay nothing for them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,34 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import lane_of
 
+# A key with about this many rows is hot; one task sorts fewer narrow rows with ease.
+HOT_ROWS = 5_000_000
+# Hot keys are looked for among the rows of one in so many hash slots.
+SLOTS = 1000
+
+
+def hot_keys(rows: DataFrame, key: str, row_hash: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, _hot) of the keys that have about `hot_rows` rows or more, ready to broadcast.
+
+    Keys are counted on one hash slot of the rows. That only decides which way a key is
+    computed: every row goes on, and both ways are exact, so an estimate will do. Being a
+    function of the rows alone, the answer is the same wherever a plan asks for it.
+    About (number of rows / hot_rows) keys can be hot, which bounds the broadcast.
+    """
+    slots = SLOTS if hot_rows >= 100 * SLOTS else 1
+    counted = rows.where(F.pmod(row_hash, F.lit(slots)) == 0).groupBy(key).agg(F.count("*").alias("_n"))
+    found = counted.where((F.col("_n") >= hot_rows / slots) & F.col(key).isNotNull())
+    return F.broadcast(found.select(key, F.lit(True).alias("_hot")))
+
+
+def cut_lanes(rows: DataFrame, key: str, ts: str, hot: DataFrame, lane: str) -> DataFrame:
+    """Add `_lane`: the slice of time a row of a hot key falls into, null for other keys."""
+    return (
+        rows.join(hot, key, "left")
+        .withColumn("_lane", F.when(F.col("_hot"), lane_of(F.col(ts), lane)))
+        .drop("_hot")
+    )
+
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: list[Column], copies: str | None = None) -> DataFrame:
     """The row that sorts first for each key, ties broken by all remaining columns.
