@@ -40,7 +40,8 @@ def build_dim_customer(
         F.col(segment).alias("segment"),
         F.col(ts).alias("valid_from"),
     ).na.drop()
-    hot = hot_keys(points, "customer_id", F.xxhash64("customer_id", "valid_from"), hot_rows)
+    instants = events.select(F.col(customer).alias("customer_id"), F.col(ts).alias("valid_from"))
+    hot = hot_keys(instants, "customer_id", F.xxhash64("customer_id", "valid_from"), hot_rows)
     points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot, lane)
 
     in_lane = Window.partitionBy("customer_id", "_lane").orderBy("valid_from", "segment")
