@@ -126,8 +126,8 @@ def test_overlap_audit_counts_the_pairs_it_never_forms(spark, seed):
         and (a[3] or forever) > b[2]
     )
     frame = spark.createDataFrame(rows, VERSIONS)
-    for lane in ("hour", "day"):
-        found = h.overlap_audit(frame, lane=lane).collect()
+    for lane, hot_rows in (("hour", 0), ("day", 0), ("day", 40), ("day", h.HOT_ROWS)):
+        found = h.overlap_audit(frame, lane=lane, hot_rows=hot_rows).collect()
         assert sum(r.n_starting * r.n_open for r in found) == pairs > 0
     assert h.overlap_audit(frame, limit=1).count() == 1
 
@@ -148,8 +148,8 @@ def test_current_row_audit(spark):
     assert h.current_row_audit(frame, include_none=True, limit=1).count() == 1
 
 
-@pytest.mark.parametrize("lane", ["hour", "day", "month"])
-def test_running_total(spark, lane):
+@pytest.mark.parametrize("lane, hot_rows", [("hour", 0), ("day", 0), ("month", 0), ("day", 100), ("day", h.HOT_ROWS)])
+def test_running_total(spark, lane, hot_rows):
     from pyspark.sql import functions as F
 
     rng = random.Random(3)
@@ -158,7 +158,9 @@ def test_running_total(spark, lane):
     frame = spark.createDataFrame(rows, "k string, t timestamp_ntz, v bigint")
     got = {
         (r.k, r.t): r.total
-        for r in running_total(frame, key="k", ts="t", value=F.col("v"), out="total", lane=lane).collect()
+        for r in running_total(
+            frame, key="k", ts="t", value=F.col("v"), out="total", lane=lane, hot_rows=hot_rows
+        ).collect()
     }
     want = {(k, t): sum(v2 for k2, t2, v2 in rows if k2 == k and t2 <= t) for k, t, _ in rows}
     assert got == want
@@ -219,7 +221,7 @@ def test_reconcile_classes(spark):
 
     rebuilt = versions([("a", "A", 0), ("a", "B", 3), ("b", "A", 0), ("b", "B", 1), ("d", "A", 0)])
     truth = versions([("a", "A", 0), ("a", "B", 2), ("b", "C", 0), ("c", "A", 0)])
-    got = {(r.customer_id, r.version): r.status for r in h.reconcile_history(rebuilt, truth).collect()}
+    got = {(r.customer_id, r.version): r.status for r in h.reconcile_history(rebuilt, truth, hot_rows=0).collect()}
     assert got == {
         ("a", 1): "match",
         ("a", 2): "match",

@@ -76,8 +76,12 @@ def build_dim_customer(
     return history.orderBy("customer_id", "valid_from") if ordered else history
 
 
-def number_versions(history: DataFrame, *, lane: str = "day") -> DataFrame:
-    """Add `version`: 1, 2, ... per customer in order of valid_from."""
+def number_versions(history: DataFrame, **hot: object) -> DataFrame:
+    """Add `version`: 1, 2, ... per customer in order of valid_from.
+
+    `lane` and `hot_rows`, here and in the other operators over a history, are those of
+    `running_total`.
+    """
     return running_total(
         history,
         key="customer_id",
@@ -85,11 +89,11 @@ def number_versions(history: DataFrame, *, lane: str = "day") -> DataFrame:
         ties=("segment",),
         value=F.lit(1).cast("bigint"),
         out="version",
-        lane=lane,
+        **hot,
     )
 
 
-def overlap_audit(history: DataFrame, *, lane: str = "day", limit: int | None = None) -> DataFrame:
+def overlap_audit(history: DataFrame, *, limit: int | None = None, **hot: object) -> DataFrame:
     """Points in time at which a version starts while earlier ones are still open.
 
     Returns customer_id, valid_from, n_starting, n_open. Two versions with different
@@ -125,7 +129,7 @@ def overlap_audit(history: DataFrame, *, lane: str = "day", limit: int | None =
         ts="at",
         value=F.col("_opening") - F.col("_closing"),
         out="_open",
-        lane=lane,
+        **hot,
     )
     found = (
         swept.withColumn("n_open", F.col("_open") - F.col("_opening"))
@@ -269,14 +273,14 @@ def point_in_time(
     )
 
 
-def reconcile_history(history: DataFrame, truth: DataFrame, *, lane: str = "day") -> DataFrame:
+def reconcile_history(history: DataFrame, truth: DataFrame, **hot: object) -> DataFrame:
     """Compare a rebuilt history with the true one, version by version.
 
     `truth` has customer_id, segment, valid_from. Versions are numbered per customer on
     both sides; status is match, wrong_segment, missing (only in truth) or extra.
     """
-    got = number_versions(history, lane=lane).select("customer_id", "version", "segment")
-    want = number_versions(truth, lane=lane).select("customer_id", "version", F.col("segment").alias("true_segment"))
+    got = number_versions(history, **hot).select("customer_id", "version", "segment")
+    want = number_versions(truth, **hot).select("customer_id", "version", F.col("segment").alias("true_segment"))
     status = (
         F.when(F.col("segment").isNull(), "missing")
         .when(F.col("true_segment").isNull(), "extra")

@@ -79,17 +79,20 @@ def running_total(
     out: str,
     ties: tuple[str, ...] = (),
     lane: str = "day",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add `out`, the sum of `value` over this and all earlier rows of the same key.
 
-    Lane totals are summed per key first; each lane then starts from one carry
-    row holding the total of the lanes before it.
+    The lanes of a hot key are summed first; each lane then starts from one carry row
+    holding the total of the lanes before it.
     """
-    cut = rows.withColumn("_lane", lane_of(F.col(ts), lane)).withColumn("_value", value)
+    hot = hot_keys(rows.select(key, ts), key, F.xxhash64(key, ts), hot_rows)
+    cut = cut_lanes(rows.withColumn("_value", value), key, ts, hot, lane)
 
     earlier_lanes = Window.partitionBy(key).orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        cut.groupBy(key, "_lane")
+        cut.where(F.col("_lane").isNotNull())
+        .groupBy(key, "_lane")
         .agg(F.sum("_value").alias("_lane_total"))
         .select(
             key,

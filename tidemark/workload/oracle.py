@@ -203,33 +203,34 @@ judged AS (
 )"""
 
 COHORTS = """
-  SELECT segment, count(*) FILTER (WHERE is_current) AS customers_currently_in_segment,
-         count(DISTINCT customer_id) AS customers_ever_in_segment"""
+cohorts AS (
+  SELECT segment, CAST(sum(CASE WHEN is_current THEN 1 ELSE 0 END) AS BIGINT) AS n_now,
+         count(DISTINCT customer_id) AS n_ever
+  FROM dim GROUP BY segment
+)"""
 
 ORACLE = {
     # ---- history
     "scd2_dim_customer": f"WITH {DIM} SELECT * FROM dim",
-    "cohort_retention": f"""WITH {DIM} {COHORTS},
-         round(count(*) FILTER (WHERE is_current) * 100.0 / nullif(count(DISTINCT customer_id), 0), 1)
-           AS retention_pct
-  FROM dim GROUP BY segment""",
-    "cohort_summary": f"WITH {DIM} {COHORTS} FROM dim GROUP BY segment",
-    # Pairs of versions, counted per starting time; our operator never forms them.
+    "cohort_retention": f"""WITH {DIM}, {COHORTS}
+  SELECT segment, n_now AS customers_currently_in_segment, n_ever AS customers_ever_in_segment,
+         round(100 * CAST(n_now AS DOUBLE) / n_ever, 1) AS retention_pct
+  FROM cohorts""",
+    "cohort_summary": f"""WITH {DIM}, {COHORTS}
+  SELECT segment, n_now AS customers_currently_in_segment, n_ever AS customers_ever_in_segment FROM cohorts""",
+    # Every earlier version still open at a start, by brute force; our operator never forms these pairs.
     "scd2_overlap_audit": f"""WITH {BROKEN}
-  SELECT b.customer_id, b.valid_from, count(DISTINCT b.segment) AS n_starting, count(*) AS n_open
-  FROM broken a JOIN broken b
-    ON a.customer_id = b.customer_id AND a.valid_from < b.valid_from
-   AND a.valid_from < coalesce(b.valid_to, TIMESTAMP '9999-12-31')
-   AND coalesce(a.valid_to, TIMESTAMP '9999-12-31') > b.valid_from
+  SELECT late.customer_id, late.valid_from, count(DISTINCT late.segment) AS n_starting, count(*) AS n_open
+  FROM broken late JOIN broken early USING (customer_id)
+  WHERE early.valid_from < late.valid_from AND (early.valid_to IS NULL OR early.valid_to > late.valid_from)
   GROUP BY 1, 2""",
     "scd2_overlap_clean": f"""WITH {DIM}
-  SELECT count(*) AS n_overlaps FROM dim a JOIN dim b
-    ON a.customer_id = b.customer_id AND a.valid_from != b.valid_from
-   AND a.valid_from < coalesce(b.valid_to, TIMESTAMP '9999-12-31')
-   AND coalesce(a.valid_to, TIMESTAMP '9999-12-31') > b.valid_from""",
+  SELECT count(*) AS n_overlaps FROM dim late JOIN dim early USING (customer_id)
+  WHERE early.valid_from < late.valid_from AND (early.valid_to IS NULL OR early.valid_to > late.valid_from)""",
     "scd2_multi_current": f"""WITH {BROKEN}
-  SELECT customer_id, count(*) AS n_current FROM broken WHERE is_current
-  GROUP BY customer_id HAVING count(*) != 1""",
+  SELECT customer_id, n_current
+  FROM (SELECT customer_id, count(*) FILTER (WHERE is_current) AS n_current FROM broken GROUP BY customer_id)
+  WHERE n_current > 1""",
     "scd2_fingerprint": f"""WITH {DIM},
   digests AS (
     SELECT sha256(concat_ws('|', customer_id, segment, valid_from, coalesce(CAST(valid_to AS VARCHAR), '\\N'),
