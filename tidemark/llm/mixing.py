@@ -19,7 +19,7 @@ SEED = "mix-1"
 # Slots of a size class of a source: a cell holds about rows / SLOTS rows of the class.
 SLOT_BITS = 6
 # A cell is large if its documents have more than 1 / LARGE of their source's words each, on average.
-LARGE = 500
+LARGE = 150
 
 
 def _number(*parts: Column) -> Column:
