@@ -80,7 +80,9 @@ def word_hashes(
     np.multiply.accumulate(power, out=power)
     summed = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[:n], out=summed[1:])
-    hashes = mix((summed[end] - summed[start]) * power[n - start])
+    # Shift every word to the place 0: by B ** (n - start), then by B ** -n.
+    back = np.uint64(pow(int(_BASE), -n, 1 << 64))
+    hashes = mix((summed[end] - summed[start]) * power[n - start] * back)
     return hashes, np.searchsorted(start, offsets).astype(np.int64)
 
 
@@ -102,7 +104,7 @@ def ngram_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarr
 
 def short_hash(words: np.ndarray) -> np.uint64:
     """One hash for a whole sequence of fewer words than an n-gram has."""
-    h = _FEW + np.uint64(len(words))
+    h = np.array([len(words)], np.uint64) + _FEW
     for w in words:
-        h = mix(np.array([h ^ w], np.uint64))[0] * _MIX[2]
-    return h
+        h = mix(h ^ w) * _MIX[2]
+    return h[0]
