@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, language_model, mixing, neighbours, packing, quality, secrets, toxicity
+from tidemark.llm import jaccard_join, language_model, mixing, neighbours, packing, pii, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,14 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# The key of the supplied tables' pseudonyms. A real one comes from a secret store, never from code.
+PSEUDONYM_KEY = b"key of the test tables"
+
+
+@query
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    spans = F.transform("pii", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+    return done.select("doc_id", F.size("pii").cast("long").alias("n_found"), F.array_join(spans, ",").alias("spans"), "text")
