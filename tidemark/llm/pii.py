@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -210,7 +211,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", *, restore: bo
     """
     columns = docs.columns
     spans = "array<struct<start:int,end:int,kind:string,pseudonym:string>>"
-    small = docs.select(F.struct(*[F.col(c) for c in columns if c != text]).alias("row") if len(columns) > 1 else F.struct(F.lit(1)).alias("row"), F.col(text).cast("string").alias("t"))
+    others = [F.col(c) for c in columns if c != text] or [F.lit(1)]
+    small = docs.select(F.struct(*others).alias("row"), F.col(text).cast("string").alias("t"))
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("pseudonym", pa.string())]))
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,6 +226,6 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", *, restore: bo
                 out.append([dict(zip(("start", "end", "kind", "pseudonym"), f, strict=True)) for f in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(out, span_type)], ["row", "t", "pii"])
 
-    schema = small.schema.add("pii", spans)
+    schema = StructType([*small.schema.fields, *StructType.fromDDL(f"pii {spans}").fields])
     done = small.mapInArrow(change, schema)
     return done.select(*[F.col("t").alias(c) if c == text else F.col("row")[c].alias(c) for c in columns if c.lower() != "pii"], "pii")

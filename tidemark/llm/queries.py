@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, language_model, mixing, neighbours, packing, pii, quality, secrets, toxicity
+from tidemark.llm import jaccard_join, language_model, licenses, mixing, neighbours, packing, pii, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +82,11 @@ def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pii.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
     spans = F.transform("pii", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
     return done.select("doc_id", F.size("pii").cast("long").alias("n_found"), F.array_join(spans, ",").alias("spans"), "text")
+
+
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The tables have no paths: a document lies in the directory of its source and language.
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    found = licenses.scan(table(spark, sf_dir, "documents").select(path.alias("path"), "text"))
+    return found.select(F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"), "licence", F.round("cosine", 6).alias("cosine"), "how", "stated_in")
