@@ -46,7 +46,7 @@ def _questions(grams: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.nd
     """The distinct n-grams in order, with 0 first for the number of words; where each bucket begins."""
     every = np.concatenate([np.zeros(1, np.uint64), *[g[g != 0] for g in grams]])
     found = np.unique(every, return_counts=True)
-    cuts = np.searchsorted(found[0], np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets))
+    cuts = np.searchsorted(found[0], np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // max(buckets, 2)))
     return *found, np.concatenate([[0], cuts, [len(found[0])]])
 
 
