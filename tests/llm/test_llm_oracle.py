@@ -1,0 +1,42 @@
+"""The queries of the corpus operators against their SQL, and the shape of their plans."""
+
+import re
+
+import oracle
+import pytest
+
+from tidemark.llm.oracle import ORACLE
+from tidemark.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+NATIVE = ["op6_secret_scan", "op8_licenses", "op9_mixing", "op10_quality_rules"]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return oracle.connect(SMALL)
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_equals_its_sql(spark, duck, name):
+    assert oracle.differences(QUERIES[name](spark, SMALL), duck, ORACLE[name]) == []
+
+
+def plan(spark, name):
+    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_operators_run_no_python(spark, name):
+    assert not re.search("Python|Pandas|Arrow", plan(spark, name))
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_query_pairs_rows_without_a_key(spark, name):
+    text = plan(spark, name)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["op6_secret_scan", "op10_quality_rules"])
+def test_rules_need_no_shuffle(spark, name):
+    assert "Exchange" not in plan(spark, name)

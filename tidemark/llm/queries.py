@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.llm import jaccard_join, language_model, licenses, mixing, neighbours, packing, pii, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(function):
@@ -65,7 +64,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model.score(table(spark, sf_dir, "documents"))
+    scored = language_model.score(table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
 
 
 @query
