@@ -141,4 +141,5 @@ def keep_good(docs: DataFrame, text: str = "text", **limits: int) -> DataFrame:
     """The documents that `assess` keeps, with their own columns and whole texts."""
     columns = docs.columns
     judged = assess(apart(docs, text=F.col(text)), "text", **limits)
-    return together(judged.where("kept"), columns)
+    # Exploded, not filtered: a filter would be pushed below and evaluate the rules several times.
+    return together(judged.select(F.explode(F.when(F.col("kept"), F.array("row"))).alias("row")), columns)

@@ -53,3 +53,22 @@ def checkpoint_folder(spark: SparkSession) -> None:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
+
+
+# Bits of a sieve; with it, at most 256 rows of 4 kB each are broadcast, whatever the table.
+SIEVE_BITS = 1 << 23
+
+
+def sieve(ids: DataFrame, id_col: str, docs: DataFrame, by: str) -> DataFrame:
+    """`docs` with a boolean `maybe`: false only where `by` is none of the ids.
+
+    A bitmap of hashed ids, so that rows which can't meet need not be shuffled for a join. It lets more
+    rows through the more ids there are; the join behind it decides.
+    """
+    bit = F.pmod(F.xxhash64(id_col), F.lit(SIEVE_BITS))
+    maps = ids.select(bit.alias("h")).groupBy(F.floor(F.col("h") / 32768).alias("map_no"))
+    maps = maps.agg(F.bitmap_construct_agg(F.col("h") % 32768).alias("map"))
+    at = F.pmod(F.xxhash64(by), F.lit(SIEVE_BITS))
+    met = apart(docs, at=at % 32768, of=F.floor(at / 32768)).join(F.broadcast(maps), F.col("of") == F.col("map_no"), "left")
+    byte = F.conv(F.hex(F.substring("map", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return together(met, docs.columns, maybe=F.coalesce(F.getbit(byte, (F.col("at") % 8).cast("int")) == 1, F.lit(False)))
