@@ -38,8 +38,8 @@ def docs(spark):
 
 
 def model_of(docs):
-    labelled = docs.select("text", F.when(F.col("doc_id") % 2 == 0, 1).when(F.col("doc_id") < 9, 0).alias("toxic"))
-    return toxicity.train(labelled, train_docs=100)
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 1).when(F.col("doc_id") < 9, 0).alias("toxic"))
+    return toxicity.train(docs, labels, train_docs=100)
 
 
 OPERATORS = {

@@ -55,8 +55,8 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    labelled = docs.join(labels, "doc_id").where(~toxicity.held_out())
-    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(labelled, key="doc_id"))
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
     )

@@ -153,21 +153,20 @@ def fit(term: np.ndarray, begins: np.ndarray, label: np.ndarray, bits: int = BIT
 
 
 def train(
-    labelled: DataFrame, text: str = "text", label: str = "toxic", key: str | None = None,
+    docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", id_col: str = "doc_id",
     *, train_docs: int = TRAIN_DOCS, bits: int = BITS,
 ) -> Model:
-    """Fit a model to at most about `train_docs` labelled texts, chosen by the hash of `key` (or of the text).
+    """Fit a model to at most `train_docs` labelled documents.
 
-    Rows without a label are left out. Half the bound is kept for each label, so that a rare label
-    is seen; the bias is set back to its true rate. The driver gathers hashed terms only.
+    Of each label (0, 1; other rows are left out) those `train_docs / 2` are taken whose ids hash smallest, so
+    that a rare label is seen; the bias is set back to the true rate. The chosen labels, no more than
+    `train_docs` rows, are broadcast to the documents, and the driver gathers hashed terms of their texts.
     """
-    by = F.xxhash64(key) if key else F.xxhash64(F.col(text).cast("string"))
-    rates = {r[0]: r["count"] for r in labelled.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int")).count().collect()}
-    limits = {y: int(min(1.0, train_docs / 2 / max(rates.get(y, 0), 1)) * 1_000_000) for y in (0, 1)}
-    chosen = labelled.where(F.pmod(by, F.lit(1_000_000)) < max(limits.values())).where(
-        F.pmod(by, F.lit(1_000_000)) < F.when(F.col(label) == 1, limits[1]).when(F.col(label) == 0, limits[0])
-    )
-    rows = chosen.select(F.col(label).cast("int").alias("y"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(id_col).alias("labelled"), F.col(label).cast("int").alias("y"))
+    rates = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}  # two rows
+    zero, one = (known.where(F.col("y") == y).orderBy(F.xxhash64("labelled"), "labelled").limit(train_docs // 2) for y in (0, 1))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+    rows = texts.join(F.broadcast(zero.union(one)), F.col("id") == F.col("labelled")).select("y", "t")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
