@@ -47,7 +47,7 @@ class Lists:
         n, k = len(vectors), len(self.centroids)
         width = min(width, k)
         beam = np.tile(np.linspace(0, k - 1, width).astype(np.int64), (n, 1))
-        dist = 2 - 2 * np.einsum("nd,nwd->nw", vectors, self.centroids[beam]) if n * width < 2_000_000 else 2 - 2 * vectors @ self.centroids[beam[0]].T
+        dist = 2 - 2 * vectors @ self.centroids[beam[0]].T
         order = np.argsort(dist, 1, kind="stable")
         beam, dist = np.take_along_axis(beam, order, 1), np.take_along_axis(dist, order, 1)
         visited = np.zeros((n, k), bool)
@@ -134,8 +134,9 @@ def fit(sample: np.ndarray, total: int, *, recall: float = RECALL, k: int = 5, s
     lists = Lists(centroids, np.concatenate([close, far], 1))
     # The ratio that holds the true neighbours of some vectors of the sample.
     some = sample[rng.choice(len(sample), min(400, len(sample)), replace=False)]
-    top = np.argsort(-(some @ sample.T), 1)[:, : k + 1]
-    row, own = lists.owners(sample)
+    top = np.concatenate([np.argsort(-(some[i : i + 20] @ sample.T), 1)[:, : k + 1] for i in range(0, len(some), 20)])
+    parts = [(i, *lists.owners(sample[i : i + 1024])) for i in range(0, len(sample), 1024)]
+    row, own = np.concatenate([i + r for i, r, _ in parts]), np.concatenate([o for _, _, o in parts])
     at = np.searchsorted(row, np.arange(len(sample) + 1))
     near, d = lists.search(some, m)
     share = np.full((len(some), m), np.inf)
