@@ -13,6 +13,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -22,16 +23,23 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.plans.monthly import Warehouse, run_monthly  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 from tidemark.sources import tables  # noqa: E402
-from tidemark.sources.bronze import LANDED, write_bronze  # noqa: E402
+from tidemark.sources.bronze import write_bronze  # noqa: E402
 from tidemark.workload import inputs  # noqa: E402
 from tidemark.workload.queries import QUERIES  # noqa: E402
 
 
 def land_orders(spark, sf_dir: str) -> Warehouse:
-    """The defective order batches as a bronze table in a new scratch folder."""
-    warehouse = Warehouse(tempfile.mkdtemp(prefix="run-"))
-    events = inputs.loaded_events(spark, sf_dir).withColumn("corrupt_record", F.lit(None))
-    write_bronze(events.select(*[F.col(f.name).cast(f.dataType) for f in LANDED.fields]), warehouse.bronze)
+    """The defective order batches as a bronze table in a new folder of $BENCH_WAREHOUSE.
+
+    The root must be shared by all executors; only on a local master a temporary folder will do.
+    """
+    root = os.environ.get("BENCH_WAREHOUSE")
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set BENCH_WAREHOUSE to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="run-")
+    warehouse = Warehouse(f"{root}/{uuid.uuid4()}")
+    write_bronze(inputs.bronze_events(spark, sf_dir), warehouse.bronze)
     return warehouse
 
 

@@ -3,14 +3,15 @@
 import json
 import random
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import __main__ as jobs
-from tidemark.operators import gates, history, quality
+from tidemark.operators import gates, history, ledger, quality
 from tidemark.plans.monthly import Warehouse, clean_batch, run_monthly
-from tidemark.schemas import EVENT, GOLD, SchemaDrift
+from tidemark.schemas import EVENT, GOLD, VALID_SEGMENTS, SchemaDrift
 from tidemark.sources import tables
 from tidemark.sources.bronze import land_bronze, list_batches, read_bronze, read_json_events
 
@@ -18,23 +19,24 @@ CUSTOMERS = 30
 TYPES = ("login", "card_txn", "offer_shown", "offer_redeemed")
 
 
-def month_rows(n, month_start, rng):
+def month_rows(n, month_start):
+    """Each customer four times in the month; every ninth one moves on to the next segment each month."""
     rows = []
-    for k in range(CUSTOMERS * 4):
-        c = rng.randrange(CUSTOMERS)
-        segment = ("mass", "affluent", "private", "student", "dormant")[(c + (n if c % 10 == 0 else 0)) % 5]
-        ts = month_start + timedelta(days=rng.randrange(28), seconds=rng.randrange(86400))
-        amount = rng.randrange(100, 100_000) if rng.random() < 0.4 else None
-        rows.append(
-            {
-                "event_id": f"{n}-{k}",
-                "customer_id": f"cust_{c:06d}",
-                "event_type": rng.choice(TYPES),
-                "segment_at_event": segment,
-                "amount_cents": amount,
-                "ts": ts.isoformat(),
-            }
-        )
+    for c in range(CUSTOMERS):
+        moves = n if c % 9 == 4 else 0
+        for week in range(4):
+            kind = TYPES[(c + week) % 4]
+            at = month_start + timedelta(weeks=week, hours=c)
+            rows.append(
+                {
+                    "event_id": f"m{n}c{c}w{week}",
+                    "customer_id": f"cust_{c:06d}",
+                    "event_type": kind,
+                    "segment_at_event": VALID_SEGMENTS[(2 * c + moves) % 5],
+                    "amount_cents": 31 * c + week if kind == "card_txn" else None,
+                    "ts": at.strftime("%Y-%m-%dT%H:%M:%SZ"),
+                }
+            )
     return rows
 
 
@@ -46,9 +48,8 @@ def write_months(folder, months):
 
 @pytest.fixture
 def months():
-    rng = random.Random(7)
     starts = [datetime(2024, m, 1, tzinfo=timezone.utc) for m in (1, 2, 3)]
-    return {n: month_rows(n, start, rng) for n, start in enumerate(starts)}
+    return {n: month_rows(n, start) for n, start in enumerate(starts)}
 
 
 @pytest.fixture
@@ -141,8 +142,7 @@ def test_nothing_promoted_keeps_gold_or_empties_it(spark, run, months):
 
 
 def test_months_after_the_first_year_can_be_fresh(spark, run):
-    rng = random.Random(1)
-    later = {12: month_rows(12, datetime(2025, 1, 1, tzinfo=timezone.utc), rng)}
+    later = {12: month_rows(12, datetime(2025, 1, 1, tzinfo=timezone.utc))}
     assert run(later)["promoted"] == ["month=12"]
 
 
@@ -185,6 +185,38 @@ def test_landing_needs_files_and_keeps_lines_that_do_not_parse(spark, tmp_path):
     ).first().passed
 
 
+def test_a_month_landed_empty_loses_its_rows_and_is_blocked(spark, run, months):
+    run(months)
+    again = run({**months, 1: []})
+    assert again["promoted"] == ["month=00", "month=02"]
+    assert again["blocked"] == [{"month": "month=01", "failed_gates": ["freshness"]}]
+    assert read_bronze(spark, run.warehouse.bronze).where("batch = 'month=01'").isEmpty()
+    assert tables.read_silver(spark, run.warehouse.silver).where("batch = 'month=01'").isEmpty()
+
+
+def test_a_run_without_bronze_promotes_nothing(spark, tmp_path):
+    result = run_monthly(spark, Warehouse(str(tmp_path / "none")), jobs.customers_from(spark, "3"))
+    assert (result["months"], result["promoted"], result["gold_rows_written"]) == ([], [], 0)
+
+
+@pytest.mark.parametrize("amount", ["-500.5", '"-700"', "-99999999999999999999"])
+def test_a_number_that_does_not_fit_blocks_its_month(spark, run, months, tmp_path, amount):
+    line = json.dumps(months[0][0]).replace('"amount_cents": null', f'"amount_cents": {amount}')
+    assert amount in line
+    folder = tmp_path / "bad"
+    write_months(folder, months)
+    with (folder / "month=00.jsonl").open("a") as f:
+        f.write(line.replace("m0c0w0", "other") + "\n")
+    land_bronze(spark, str(folder), run.warehouse.bronze)
+    result = run_monthly(spark, run.warehouse, jobs.customers_from(spark, str(CUSTOMERS)))
+    assert {"month": "month=00", "failed_gates": ["required_fields"]} in result["blocked"]
+
+
+def test_a_bare_time_is_no_timestamp(spark, run, months):
+    months[2][5]["ts"] = "12:30"
+    assert run(months)["blocked"] == [{"month": "month=02", "failed_gates": ["required_fields"]}]
+
+
 def test_a_month_of_null_amounts_stays_a_number(spark, tmp_path):
     write_months(tmp_path, {0: [{"event_id": "a", "amount_cents": None, "ts": "2024-01-01T00:00:00Z"}]})
     frame = read_json_events(spark, str(tmp_path / "month=00.jsonl"))
@@ -243,8 +275,20 @@ def test_jobs(spark, months, tmp_path, capsys):
     jobs.main([*root, "clean-batch", "--batch", "month=01"], spark)
     jobs.main([*root, "gold"], spark)
     jobs.main([*root, "cohorts"], spark)
+    jobs.main([*root, "costs"], spark)
+    jobs.main([*root, "sla"], spark)
     out = capsys.readouterr().out
-    assert "dim_offer: 2 rows" in out and "retention_pct" in out
+    assert "dim_offer: 2 rows" in out and "retention_pct" in out and "monthly#" in out and "breach" in out
+
+
+def test_each_run_is_in_the_cost_ledger(spark, run, months):
+    cost = run(months)["cost"]
+    stored = sum(f.stat().st_size for f in Path(run.warehouse.bronze).rglob("*.parquet"))
+    assert cost["bytes_processed"] == stored > 0
+    run(months)
+    rows = tables.read_ledger(spark, run.warehouse.ops, "pipeline_cost").collect()
+    assert len(rows) == 2 and {r.pipeline_id for r in rows} == {"monthly"}
+    assert len(ledger.cost_by_pipeline(tables.read_ledger(spark, run.warehouse.ops, "pipeline_cost")).collect()) == 1
 
 
 def test_bronze_reader_declares_its_columns(spark, run, months):

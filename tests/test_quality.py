@@ -55,10 +55,14 @@ def test_failures_are_named_and_passes_are_not(checks):
     assert [r.name for r in quality.failed_checks(report).collect()] == ["broken_check"]
     with pytest.raises(quality.QualityFailure) as raised:
         quality.assert_all_passed(report, "my-run")
-    text = str(raised.value)
-    assert "1/2 quality checks failed for my-run" in text
-    assert "broken_check: measured=0.2 < threshold=0.9: rows lost between stages" in text
-    assert "ok_check" not in text
+    assert str(raised.value) == "my-run: 1 of 2 quality checks failed (correctness 1)"
+    assert [tuple(r) for r in quality.failure_counts(report).collect()] == [("correctness", 1, 2)]
+
+
+def test_failures_point_to_where_they_are_stored(checks):
+    report = checks(*[("validity", f"c{i}", 0.0, 1.0, True, "") for i in range(300)])
+    with pytest.raises(quality.QualityFailure, match="300 of 300 .*validity 300.*are in s3a://b/report/checks"):
+        quality.assert_all_passed(report, "run", stored="s3a://b/report/checks")
 
 
 def test_all_passed_is_silent(checks):

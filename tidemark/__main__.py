@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: land, run, clean-batch, gold, register, cohorts."""
+"""Jobs for spark-submit: land, run, clean-batch, gold, register, cohorts, costs, sla."""
 
 from __future__ import annotations
 
@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.facts import cohort_retention
+from tidemark.operators.ledger import breach_count, cost_by_pipeline
 from tidemark.operators.silver import CLEAN
-from tidemark.plans.monthly import Warehouse, clean_batch, gold_frames, run_monthly
+from tidemark.plans.monthly import Warehouse, clean_batch, run_monthly, write_gold_tables
 from tidemark.session import build_session
 from tidemark.sources import tables
 from tidemark.sources.bronze import land_bronze, list_batches
@@ -37,8 +38,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     one.add_argument("--batch", required=True)
     jobs.add_parser("gold", help="rebuild the gold tables from silver as it is")
     register = jobs.add_parser("register", help="gold tables into the catalog")
-    register.add_argument("--database", default="bank_gold")
+    register.add_argument("--database", default="tidemark_gold")
     jobs.add_parser("cohorts", help="print cohort retention by segment")
+    jobs.add_parser("costs", help="print the cost of each pipeline and day")
+    jobs.add_parser("sla", help="print the number of alerted SLA breaches")
     args = parser.parse_args(argv)
 
     spark = spark or build_session(f"tidemark-{args.job}")
@@ -52,12 +55,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.job == "clean-batch":
         print(json.dumps(clean_batch(spark, warehouse, args.batch)))
     elif args.job == "gold":
-        for name, frame in gold_frames(tables.read_silver(spark, warehouse.silver, CLEAN)).items():
-            print(f"{name}: {tables.write_gold(frame, warehouse.gold, name)} rows")
+        for name, rows in write_gold_tables(spark, warehouse, tables.read_silver(spark, warehouse.silver, CLEAN)).items():
+            print(f"{name}: {rows} rows")
     elif args.job == "register":
         print("\n".join(tables.register_gold(spark, warehouse.gold, args.database)))
     elif args.job == "cohorts":
         cohort_retention(tables.read_gold(spark, warehouse.gold, "dim_customer"), ordered=True).show(truncate=False)
+    elif args.job == "costs":
+        cost_by_pipeline(tables.read_ledger(spark, warehouse.ops, "pipeline_cost")).orderBy("pipeline_id").show(truncate=False)
+    elif args.job == "sla":
+        breach_count(tables.read_ledger(spark, warehouse.ops, "sla_alerts")).show()
 
 
 if __name__ == "__main__":

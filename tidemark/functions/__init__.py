@@ -9,13 +9,16 @@ from pyspark.sql import types as T
 # Fixed value: modelled price of one GiB processed.
 COST_PER_GIB = 0.023
 
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.]\d{1,9})?)?(?:Z|[+-]\d{2}:\d{2})?)?$"
+
 
 def with_event_ts(events: DataFrame, ts: str = "ts", out: str = "event_ts") -> DataFrame:
-    """Add the event time. Text that is not a timestamp becomes null, not an error."""
+    """Add the event time. Text that is no ISO date or time with a date becomes null, not an error."""
     if out in events.columns:
         return events
     if isinstance(events.schema[ts].dataType, T.StringType):
-        return events.withColumn(out, F.col(ts).try_cast("timestamp"))
+        # A cast alone would read a bare time as one of today.
+        return events.withColumn(out, F.when(F.col(ts).rlike(ISO_TIME), F.col(ts).try_cast("timestamp")))
     return events.withColumn(out, F.col(ts))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import month_of, with_event_ts
-from tidemark.schemas import EVENT, REQUIRED_FIELDS, VALID_SEGMENTS
+from tidemark.schemas import CORRUPT, EVENT, REQUIRED_FIELDS, VALID_SEGMENTS
 
 # Evaluation order of the gates and the drift limit.
 GATES = (
@@ -33,6 +33,8 @@ def declare_fields(events: DataFrame) -> tuple[DataFrame, list[str]]:
     for field in EVENT.fields:
         if field.name not in events.columns:
             events = events.withColumn(field.name, F.lit(None).cast(field.dataType))
+    if CORRUPT not in events.columns:
+        events = events.withColumn(CORRUPT, F.lit(None).cast("string"))
     return with_event_ts(events), absent
 
 
@@ -93,6 +95,7 @@ def batch_facts(
             null_ts="count_if(ts IS NULL)",
             bad_ts="count_if(ts IS NOT NULL AND event_ts IS NULL)",
             negative="count_if(amount_cents < 0)",
+            unreadable=f"count_if({CORRUPT} IS NOT NULL)",
         ),
         F.count_if(F.lit(False) if as_of is None else F.col("event_ts") > as_of).alias("future"),
     )
@@ -107,7 +110,7 @@ def batch_facts(
                 null_segment="sum(CASE WHEN segment_at_event IS NULL THEN n ELSE 0 END)",
                 n_orphans="sum(CASE WHEN customer_id IS NOT NULL AND known IS NULL THEN n ELSE 0 END)",
                 n_unknown_segment=f"sum(CASE WHEN segment_at_event NOT IN ({domain}) THEN n ELSE 0 END)",
-                **{c: f"sum({c})" for c in ("null_type", "null_ts", "bad_ts", "negative", "future")},
+                **{c: f"sum({c})" for c in ("null_type", "null_ts", "bad_ts", "negative", "unreadable", "future")},
                 **share_counts,
             )
         )
@@ -182,6 +185,7 @@ def drift_table(
     )
 
 
+# Message texts of the gates.
 # Required field -> count of its nulls in `batch_facts`, in the order they are reported.
 NULL_COUNTS = {
     "event_id": "null_id",
@@ -227,9 +231,11 @@ def scorecard_of(
         for field, n in NULL_COUNTS.items()
     )
     no_time = """CASE WHEN bad_ts > 0 THEN concat("'ts': not a timestamp in ", bad_ts) END"""
+    # A number that does not fit its column turns null, but its line is kept and counted here.
+    unreadable = """CASE WHEN unreadable > 0 THEN concat("'line': not readable in ", unreadable) END"""
     judged = facts.withColumns(
         {
-            "missing": F.expr(f"concat_ws(', ', {missing}, {no_time})"),
+            "missing": F.expr(f"concat_ws(', ', {missing}, {no_time}, {unreadable})"),
             "drifted": F.filter(_drift(segments), lambda d: d["drift"] > max_change),
         }
     )

@@ -42,7 +42,7 @@ def build_dim_customer(
     ).na.drop()
     instants = events.select(F.col(customer).alias("customer_id"), F.col(ts).alias("valid_from"))
     hot = hot_keys(instants, "customer_id", F.xxhash64("customer_id", "valid_from"), hot_rows)
-    points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot, lane)
+    points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot, lane).drop("_hot")
 
     in_lane = Window.partitionBy("customer_id", "_lane").orderBy("valid_from", "segment")
     one_per_instant = points.withColumn("_before", F.lag("valid_from").over(in_lane)).where(
@@ -160,7 +160,13 @@ def fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     Each row is hashed with SHA-256; two 60-bit pieces of the digest are summed, so
     the result does not depend on row order and needs neither sort nor collect.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns or df.columns])
+    # Length-prefixed, so that no two rows share a text; instants do not depend on the session's zone.
+    parts = []
+    for c in columns or df.columns:
+        kind = df.schema[c].dataType.simpleString()
+        value = (F.unix_micros(c) if kind == "timestamp" else F.col(c)).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("n")))
+    text = F.concat(*parts)
     digest = df.select(F.sha2(text, 256).alias("_d"))
 
     def piece(start: int):
@@ -210,8 +216,8 @@ def point_in_time(
     )
     both_sides = asked.select("_key", "_spread").unionByName(versions.select("_key", "_spread"))
     hot = hot_keys(both_sides, "_key", F.col("_spread"), hot_rows)
-    asked = cut_lanes(asked, "_key", "_at", hot, lane)
-    versions = cut_lanes(versions.drop("_spread"), "_key", "_at", hot, lane)
+    asked = cut_lanes(asked, "_key", "_at", hot, lane).drop("_hot")
+    versions = cut_lanes(versions.drop("_spread"), "_key", "_at", hot, lane).drop("_hot")
 
     # Of hot customers: one row per lane that holds events or version starts. Per
     # customer that is at most the number of lanes in the calendar.

@@ -5,8 +5,8 @@ task, so a key with a third of all rows stalls the job. These helpers cut a hot
 key's timeline into lanes (a calendar day by default). The row-level window is
 partitioned by (key, lane). What has to pass from lane to lane is first reduced
 to a row or two per lane; only those rows meet in a window over the key alone, and
-their number is bounded by the calendar, not by the data. Other keys have no lanes
-and pay nothing for them.
+their number is bounded by the calendar, not by the data. Other keys have no lanes;
+they pay for the count that finds the hot keys and for the empty carry branch.
 """
 
 from __future__ import annotations
@@ -30,18 +30,20 @@ def hot_keys(rows: DataFrame, key: str, row_hash: Column, hot_rows: int = HOT_RO
     function of the rows alone, the answer is the same wherever a plan asks for it.
     About (number of rows / hot_rows) keys can be hot, which bounds the broadcast.
     """
-    slots = SLOTS if hot_rows >= 100 * SLOTS else 1
+    slots = SLOTS if hot_rows >= 100 * SLOTS else 1  # fewer rows are counted one by one
     counted = rows.where(F.pmod(row_hash, F.lit(slots)) == 0).groupBy(key).agg(F.count("*").alias("_n"))
     found = counted.where((F.col("_n") >= hot_rows / slots) & F.col(key).isNotNull())
     return F.broadcast(found.select(key, F.lit(True).alias("_hot")))
 
 
 def cut_lanes(rows: DataFrame, key: str, ts: str, hot: DataFrame, lane: str) -> DataFrame:
-    """Add `_lane`: the slice of time a row of a hot key falls into, null for other keys."""
+    """Add `_lane`, the slice of time a row of a hot key falls into, and `_hot`.
+
+    `_lane` is null for other keys and for rows without time.
+    """
     return (
         rows.join(hot, key, "left")
         .withColumn("_lane", F.when(F.col("_hot"), lane_of(F.col(ts), lane)))
-        .drop("_hot")
     )
 
 
@@ -84,14 +86,14 @@ def running_total(
     """Add `out`, the sum of `value` over this and all earlier rows of the same key.
 
     The lanes of a hot key are summed first; each lane then starts from one carry row
-    holding the total of the lanes before it.
+    holding the total of the lanes before it. Rows without time come before all others.
     """
     hot = hot_keys(rows.select(key, ts), key, F.xxhash64(key, ts), hot_rows)
     cut = cut_lanes(rows.withColumn("_value", value), key, ts, hot, lane)
 
     earlier_lanes = Window.partitionBy(key).orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        cut.where(F.col("_lane").isNotNull())
+        cut.where("_hot")
         .groupBy(key, "_lane")
         .agg(F.sum("_value").alias("_lane_total"))
         .select(
@@ -112,5 +114,5 @@ def running_total(
     return (
         marked.withColumn(out, F.sum("_value").over(in_lane))
         .where(F.col("_kind") == 1)
-        .drop("_lane", "_kind", "_value")
+        .drop("_lane", "_hot", "_kind", "_value")
     )

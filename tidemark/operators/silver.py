@@ -34,9 +34,15 @@ def zone_rows(
     group = [*(["batch"] if "batch" in events.columns else []), *keys]
     no_id = any_null(keys)
 
-    survivors = first_per_key(events.where(~no_id), group, [incomplete, F.col("event_ts")], copies="n_copies")
-    nameless = events.where(no_id).withColumn("n_copies", F.lit(1).cast("bigint"))
-    return survivors.unionByName(nameless).withColumn("zone", F.when(incomplete, REJECTS).otherwise(CLEAN))
+    # A row without id is grouped by all it holds, and comes back as often as it was there: one scan for all.
+    alone = F.when(no_id, F.struct(*events.columns))
+    survivors = first_per_key(
+        events.withColumn("_alone", alone), [*group, "_alone"], [incomplete, F.col("event_ts")], copies="n_copies"
+    ).drop("_alone")
+    one = F.lit(1).cast("bigint")
+    times = F.when(no_id, F.array_repeat(one, F.col("n_copies").cast("int"))).otherwise(F.array("n_copies"))
+    rows = survivors.select(*events.columns, F.explode(times).alias("n_copies"))
+    return rows.withColumn("zone", F.when(incomplete, REJECTS).otherwise(CLEAN))
 
 
 def silver_stats(rows: DataFrame) -> DataFrame:

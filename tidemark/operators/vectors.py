@@ -52,8 +52,15 @@ def _blocks(df: DataFrame, id: str, embedding: str, on: list[str], rows: int, pr
                     out.append((*key, part[id].to_list(), data.tobytes()))
             yield pd.DataFrame(out, columns=schema.names)
 
-    usable = df.where(F.col(id).isNotNull() & F.col(embedding).isNotNull()).na.drop(subset=on)
-    return usable.select(*on, id, embedding).mapInPandas(pack, schema)
+    return df.select(*on, id, embedding).mapInPandas(pack, schema)
+
+
+def _usable(df: DataFrame, id: str, embedding: str, on: list[str]) -> DataFrame:
+    """Rows that can be compared, with the number of dimensions as `_dim`."""
+    finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = df.where(F.col(id).isNotNull() & F.col(embedding).isNotNull())
+    rows = rows.na.drop(subset=on) if on else rows
+    return rows.where((F.size(embedding) > 0) & finite).withColumn("_dim", F.size(embedding))
 
 
 def _exact(queries: np.ndarray, vectors: np.ndarray, metric: str) -> np.ndarray:
@@ -105,21 +112,20 @@ def knn(
     `on` names metadata columns both sides have: a query only sees vectors with equal
     values. `where` is a condition on the vectors. Both apply before ranking. l2 is the
     squared distance, cosine is 1 - similarity. A query without candidates has no rows.
+    A vector that is null or empty or holds a null or non-finite number takes no part on either
+    side, and a query only sees vectors of its own number of dimensions.
 
-    There is no broadcast hint: Spark broadcasts the query blocks when it measures
-    them to be small and otherwise shuffles both sides, with AQE splitting a filter
-    value that holds many blocks.
+    Vector blocks are dealt to as many buckets as there are shuffle partitions, and each query
+    block goes to every bucket once: a filter value with many vectors, or none at all, is spread evenly.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
     on = list(on or [])
     if where is not None:
         vectors = vectors.where(where)
-    # Without filter columns every query block meets every vector block: one shared key.
-    shared = [] if on else ["_all"]
-    if shared:
-        queries, vectors = queries.withColumn("_all", F.lit(0)), vectors.withColumn("_all", F.lit(0))
-    keys = on + shared
+    queries, vectors = _usable(queries, query_id, embedding, on), _usable(vectors, id, embedding, on)
+    keys = [*on, "_dim"]
+    buckets = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     best_schema = T.ArrayType(
         T.StructType(
@@ -145,7 +151,9 @@ def knn(
 
     query_blocks = _blocks(queries, query_id, embedding, keys, query_rows, "q")
     vector_blocks = _blocks(vectors, id, embedding, keys, vector_rows, "v")
-    candidates = vector_blocks.join(query_blocks, keys).select(
+    vector_blocks = vector_blocks.withColumn("_bucket", F.pmod(F.xxhash64("v_ids"), F.lit(buckets)).cast("int"))
+    query_blocks = query_blocks.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    candidates = vector_blocks.join(query_blocks, [*keys, "_bucket"]).select(
         F.inline(best_of("q_ids", "q_data", "v_ids", "v_data"))
     )
     nearest = Window.partitionBy("query_id").orderBy("distance", "id")

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from tidemark.operators import gates
 from tidemark.operators.facts import build_dim_offer, build_fact_engagement_daily
 from tidemark.operators.history import build_dim_customer
-from tidemark.operators.ledger import DEFAULT_SLA_SECONDS, check_run_sla
+from tidemark.operators.ledger import DEFAULT_SLA_SECONDS, check_run_sla, record_runs
 from tidemark.operators.silver import CLEAN, silver_stats, zone_rows
 from tidemark.schemas import GOLD, LEDGER, OFFER_EVENT_TYPES, VALID_SEGMENTS, empty_table
 from tidemark.sources import tables
-from tidemark.sources.bronze import read_bronze
+from tidemark.sources.bronze import landed_batches, read_bronze, stored_bytes
 
 
 @dataclass(frozen=True)
@@ -42,15 +42,19 @@ class Warehouse:
         return f"{self.root}/ops"
 
 
-def gold_frames(
-    promoted: DataFrame, *, offer_types: tuple[str, ...] = OFFER_EVENT_TYPES
-) -> dict[str, DataFrame]:
-    """The three gold tables from the events of promoted batches."""
-    return {
-        "dim_customer": build_dim_customer(promoted),
-        "fact_engagement_daily": build_fact_engagement_daily(promoted),
-        "dim_offer": build_dim_offer(promoted, offer_types=offer_types),
+def write_gold_tables(
+    spark: SparkSession, warehouse: Warehouse, promoted: DataFrame, offer_types: tuple[str, ...] = OFFER_EVENT_TYPES
+) -> dict[str, int]:
+    """Write the three gold tables from the events of promoted batches; return their row counts."""
+    written = {
+        "dim_customer": tables.write_gold(build_dim_customer(promoted), warehouse.gold, "dim_customer"),
+        "fact_engagement_daily": tables.write_gold(
+            build_fact_engagement_daily(promoted), warehouse.gold, "fact_engagement_daily"
+        ),
     }
+    fact = tables.read_gold(spark, warehouse.gold, "fact_engagement_daily")
+    offer = build_dim_offer(fact, offer_types=offer_types)
+    return written | {"dim_offer": tables.write_gold(offer, warehouse.gold, "dim_offer")}
 
 
 def clean_batch(spark: SparkSession, warehouse: Warehouse, batch: str) -> dict:
@@ -89,7 +93,9 @@ def run_monthly(
 
     bronze = read_bronze(spark, warehouse.bronze)
     if manifest is None:
-        manifest = gates.month_manifest(bronze, start=start)
+        # Batches that were landed without a row are expected, too, and fail for it.
+        landed = landed_batches(spark, warehouse.bronze).select("batch")
+        manifest = gates.month_manifest(bronze.select("batch").union(landed), start=start)
     scorecard = _written(
         gates.gate_scorecard(bronze, known_customers, manifest, segments=segments),
         f"{warehouse.ops}/gate_scorecard/run_id={run_id}",
@@ -120,8 +126,7 @@ def run_monthly(
 
     written = dict.fromkeys(GOLD, 0)
     if promoted:
-        for name, frame in gold_frames(silver.where(F.col("zone") == CLEAN), offer_types=offer_types).items():
-            written[name] = tables.write_gold(frame, warehouse.gold, name)
+        written = write_gold_tables(spark, warehouse, silver.where(F.col("zone") == CLEAN), offer_types)
     elif on_none_promoted == "empty":
         for name, declared in GOLD.items():
             tables.write_gold(empty_table(spark, declared), warehouse.gold, name)
@@ -139,7 +144,8 @@ def run_monthly(
         "gold_rows_written": written["dim_customer"],
         "fact_engagement_daily_rows_written": written["fact_engagement_daily"],
         "dim_offer_rows_written": written["dim_offer"],
-        "sla": _judge_run(spark, warehouse, run_id, sla_seconds),
+        "sla": (sla := _judge_run(spark, warehouse, run_id, sla_seconds)),
+        "cost": _record_cost(spark, warehouse, sla),
     }
 
 
@@ -153,6 +159,17 @@ def _mark_started(spark: SparkSession, warehouse: Warehouse, run_id: str) -> Non
     tables.append_ledger(row, warehouse.ops, "run_starts")
 
 
+def _record_cost(spark: SparkSession, warehouse: Warehouse, sla: dict) -> dict:
+    """Append what the run read to the cost ledger; return it."""
+    now = datetime.now(timezone.utc)
+    n_bytes = stored_bytes(spark, warehouse.bronze)
+    run = [("monthly", now.date().isoformat(), n_bytes, float(sla["elapsed_seconds"]), now)]
+    schema = "pipeline_id string, run_date string, bytes_processed long, duration_seconds double, recorded_at timestamp"
+    cost = record_runs(spark.createDataFrame(run, schema))
+    tables.append_ledger(cost, warehouse.ops, "pipeline_cost")
+    return {"bytes_processed": n_bytes, "cost_usd": cost.first().cost_usd}
+
+
 def _judge_run(spark: SparkSession, warehouse: Warehouse, run_id: str, sla_seconds: int) -> dict:
     ended = spark.createDataFrame([(run_id, datetime.now(timezone.utc))], "run_id string, ended_at timestamp")
     starts = tables.read_ledger(spark, warehouse.ops, "run_starts").where(F.col("run_id") == run_id)

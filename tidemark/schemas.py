@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -114,3 +115,12 @@ def assert_contract(df: DataFrame, declared: T.StructType, name: str) -> DataFra
 
 def empty_table(spark: SparkSession, declared: T.StructType) -> DataFrame:
     return spark.createDataFrame([], declared)
+
+
+def read_or_empty(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(declared).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_table(spark, declared)

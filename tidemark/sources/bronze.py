@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import with_event_ts
-from tidemark.schemas import CORRUPT, EVENT, assert_contract
+from tidemark.schemas import CORRUPT, EVENT, assert_contract, empty_table, read_or_empty
 
 RAW = T.StructType([*EVENT.fields, T.StructField(CORRUPT, T.StringType())])
+LISTING = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("batch", T.StringType())])
 LANDED = T.StructType([*RAW.fields, T.StructField("batch", T.StringType())])
 
 
@@ -23,24 +24,68 @@ def read_json_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         spark.read.schema(RAW)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(paths)
-        .withColumn("batch", F.regexp_replace(F.col("_metadata.file_name"), r"\.jsonl?$", ""))
+        .withColumn("batch", batch_of("_metadata.file_path"))
     )
 
 
 def land_bronze(spark: SparkSession, source_dir: str, bronze_path: str) -> DataFrame:
     """Write all `month=*.jsonl` files of a directory to the bronze table and return it.
 
-    Batches landed before stay, except those that are landed again. A file without any
-    line has no batch and leaves an earlier one of its name in place.
+    Batches landed before stay, except those that are landed again; a file without any
+    line empties its batch. Every landed batch is listed (`landed_batches`), with or without rows.
     """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        events = read_json_events(spark, f"{source_dir}/month=*.jsonl")
-    except AnalysisException as missing:
-        raise FileNotFoundError(f"no month=*.jsonl files found in {source_dir}") from missing
+        landed = files.load(f"{source_dir}/month=*.jsonl").select(batch_of("path").alias("batch"), F.col("length").alias("n_bytes"))
+        none = landed.isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        none = True
+    if none:
+        raise FileNotFoundError(f"no month=*.jsonl files found in {source_dir}")
+    landed = landed.groupBy("batch").agg(F.sum("n_bytes").alias("n_bytes"))
+    events = read_json_events(spark, f"{source_dir}/month=*.jsonl")
     write_bronze(events, bronze_path)
+    # One row per file that holds no line; what an earlier landing left of its batch goes.
+    for empty in landed.join(list_batches(events), "batch", "left_anti").toLocalIterator():
+        target = f"{bronze_path}/batch={partition_name(empty.batch)}"
+        empty_table(spark, RAW).write.mode("overwrite").parquet(target)
+    listed = landed.write.mode("overwrite").partitionBy("batch").option("partitionOverwriteMode", "dynamic")
+    listed.parquet(listing_path(bronze_path))
     return read_bronze(spark, bronze_path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under a path, from their listing; 0 if there is none."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return files.agg(F.sum("length")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+
+
+def batch_of(path: str) -> Column:
+    """The batch of a landed file: its name, or that of the directory of part files, without suffix."""
+    return F.regexp_extract(path, r"([^/]*?)\.jsonl?(?:/[^/]*)?$", 1)
+
+
+def partition_name(value: str) -> str:
+    """A partition value as Spark spells it in a directory name."""
+    return "".join(f"%{ord(ch):02X}" if ch in "\"#%'*/:=?\\{[]^" else ch for ch in value)
+
+
+def listing_path(bronze_path: str) -> str:
+    return bronze_path.rstrip("/") + "_landed"
+
+
+def landed_batches(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """(batch, n_bytes) of every batch ever landed, those without rows among them."""
+    return read_or_empty(spark, listing_path(bronze_path), LISTING)
+
+
 def write_bronze(events: DataFrame, bronze_path: str) -> None:
     """Replace the batches of `events` in the bronze table; columns as in LANDED."""
     assert_contract(events, LANDED, "bronze")
@@ -50,7 +95,8 @@ def write_bronze(events: DataFrame, bronze_path: str) -> None:
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    return with_event_ts(spark.read.schema(LANDED).parquet(bronze_path))
+    """The landed events; none while nothing was landed."""
+    return with_event_ts(read_or_empty(spark, bronze_path, LANDED))
 
 
 def list_batches(events: DataFrame) -> DataFrame:

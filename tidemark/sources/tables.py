@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import quality
-from tidemark.schemas import GOLD, GOLD_ORDER, LEDGER, assert_contract, empty_table
+from tidemark.schemas import GOLD, GOLD_ORDER, LEDGER, assert_contract, read_or_empty
+from tidemark.sources.bronze import partition_name
 
 SILVER = T.StructType(
     [
@@ -40,16 +40,11 @@ def write_silver_batch(rows: DataFrame, path: str, batch: str) -> None:
     """Replace one batch in both zones, also when it has no rows in one of them."""
     rows = rows.where(F.col("batch") == batch).persist()
     for zone in ("clean", "rejects"):
-        target = f"{path}/zone={zone}/batch={_escaped(batch)}"
+        target = f"{path}/zone={zone}/batch={partition_name(batch)}"
         rows.where(F.col("zone") == zone).drop("zone", "batch").write.mode("overwrite").parquet(target)
     rows.unpersist()
 
 
-def _escaped(value: str) -> str:
-    """A partition value as Spark spells it in a directory name."""
-    return "".join(f"%{ord(ch):02X}" if ch in "\"#%'*/:=?\\{[]^" else ch for ch in value)
-
-
 def read_silver(spark: SparkSession, path: str, zone: str | None = None) -> DataFrame:
     rows = spark.read.schema(SILVER).parquet(path)
     return rows if zone is None else rows.where(F.col("zone") == zone)
@@ -70,17 +65,17 @@ def write_gold(df: DataFrame, root: str, name: str) -> int:
 
 def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A gold table, empty with the declared columns while it was never written."""
-    return _read_or_empty(spark, gold_path(root, name), GOLD[name])
+    return read_or_empty(spark, gold_path(root, name), GOLD[name])
 
 
 def open_view(spark: SparkSession, path: str, name: str, declared: T.StructType | None = None) -> DataFrame:
     """Name a Parquet path for SQL. With a declared schema a missing path is an empty view."""
-    df = spark.read.parquet(path) if declared is None else _read_or_empty(spark, path, declared)
+    df = spark.read.parquet(path) if declared is None else read_or_empty(spark, path, declared)
     df.createOrReplaceTempView(name)
     return df
 
 
-def register_gold(spark: SparkSession, root: str, database: str = "bank_gold") -> list[str]:
+def register_gold(spark: SparkSession, root: str, database: str = "tidemark_gold") -> list[str]:
     """Create or update the gold tables in the catalog, over the files, with declared columns."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, declared in GOLD.items():
@@ -95,7 +90,7 @@ def append_ledger(df: DataFrame, root: str, name: str) -> None:
 
 
 def read_ledger(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return _read_or_empty(spark, f"{root}/{name}", LEDGER[name])
+    return read_or_empty(spark, f"{root}/{name}", LEDGER[name])
 
 
 def write_quality_report(evaluated: DataFrame, path: str, pipeline: str) -> None:
@@ -104,12 +99,3 @@ def write_quality_report(evaluated: DataFrame, path: str, pipeline: str) -> None
     stamped.write.mode("overwrite").json(f"{path}/checks")
     scored = quality.score(evaluated).withColumn("pipeline", F.lit(pipeline))
     scored.withColumn("generated_at", F.current_timestamp()).write.mode("overwrite").json(f"{path}/score")
-
-
-def _read_or_empty(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(declared).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty_table(spark, declared)

@@ -7,9 +7,14 @@ whole months, so that every gate has batches that fail it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.schemas import CORRUPT
+from tidemark.sources.bronze import LANDED
+
 # The values of o_orderpriority, standing for the customer segments.
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
@@ -37,6 +42,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for the tables a query writes and reads back, shared by all executors."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/tidemark/{uuid.uuid4()}"
+
+
+def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The defective order batches in the columns of the bronze table."""
+    events = loaded_events(spark, sf_dir).withColumn(CORRUPT, F.lit(None))
+    return events.select(*[F.col(f.name).cast(f.dataType) for f in LANDED.fields])
+
+
 def cents(amount: str):
     return F.round(F.col(amount) * 100).cast("bigint")
 

@@ -233,8 +233,9 @@ ORACLE = {
   WHERE n_current > 1""",
     "scd2_fingerprint": f"""WITH {DIM},
   digests AS (
-    SELECT sha256(concat_ws('|', customer_id, segment, valid_from, coalesce(CAST(valid_to AS VARCHAR), '\\N'),
-                            is_current)) AS d
+    SELECT sha256(concat(
+      {", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')"
+                 for c in ("customer_id", "segment", "valid_from", "valid_to", "is_current"))})) AS d
     FROM dim
   )
   SELECT count(*) AS n_rows,
@@ -244,6 +245,13 @@ ORACLE = {
     "scd2_version_numbers": f"""WITH {DIM}
   SELECT customer_id, valid_from, row_number() OVER (PARTITION BY customer_id ORDER BY valid_from) AS version
   FROM dim""",
+    "version_numbers_null_time": f"""WITH {DIM},
+  blurred AS (
+    SELECT customer_id, segment, CASE WHEN month(valid_from) <> 2 THEN valid_from END AS valid_from FROM dim
+  )
+  SELECT customer_id, valid_from, segment,
+         row_number() OVER (PARTITION BY customer_id ORDER BY valid_from NULLS FIRST, segment) AS version
+  FROM blurred""",
     "scd2_point_in_time": f"""WITH {FILLED},
   asked AS (SELECT event_id, customer_id, ts AS event_ts FROM base),
   {in_force("asked", "e.event_id, e.customer_id, e.event_ts", "event_ts")}
@@ -291,6 +299,13 @@ ORACLE = {
          CASE WHEN count(*) FILTER (WHERE m <> 4 AND (m <> 3 OR event_type = 'P')) > 0 THEN ''
               ELSE 'no events found for expected month ' || batch END AS detail
   FROM base GROUP BY batch""",
+    "gate_malformed_amount": """
+  SELECT strftime(o_orderdate, '%Y-%m') AS batch, 1 AS seq, 'required_fields' AS gate,
+         count(*) FILTER (WHERE month(o_orderdate) IN (5, 6) AND o_orderstatus = 'P') = 0 AS passed,
+         CASE WHEN count(*) FILTER (WHERE month(o_orderdate) IN (5, 6) AND o_orderstatus = 'P') = 0 THEN ''
+              ELSE 'null/missing: {''line'': not readable in '
+                   || count(*) FILTER (WHERE month(o_orderdate) IN (5, 6) AND o_orderstatus = 'P') || '}' END AS detail
+  FROM orders GROUP BY batch""",
     "failed_gates": f"WITH {SCORECARD} SELECT batch, seq, gate, detail FROM scorecard WHERE NOT passed",
     "gate_alerts": f"""WITH {SCORECARD}
   SELECT batch, 'Quality gate blocked promotion of ' || batch || ': '
@@ -302,6 +317,16 @@ ORACLE = {
   SELECT customer_id, CAST(ts AS DATE) AS event_date, event_type, count(*) AS n_events,
          CAST(sum(coalesce(amount_cents, 0)) AS BIGINT) AS total_amount_cents
   FROM promoted GROUP BY 1, 2, 3""",
+    "stored_gold_fact": f"""WITH {PROMOTED}
+  SELECT customer_id, CAST(ts AS DATE) AS event_date, event_type, count(*) AS n_events,
+         CAST(sum(coalesce(amount_cents, 0)) AS BIGINT) AS total_amount_cents
+  FROM promoted GROUP BY 1, 2, 3""",
+    "stored_silver": f"""WITH {PROMOTED}
+  SELECT batch, count(*) AS n_clean, CAST(0 AS BIGINT) AS n_rejects FROM promoted GROUP BY batch""",
+    "landed_batches": """
+  SELECT strftime(o_orderdate, '%Y-%m') AS batch, count(*) AS n_rows,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS amount_cents
+  FROM orders GROUP BY 1""",
     "gold_dim_offer": f"""WITH {PROMOTED}
   SELECT event_type, count(*) AS n_events, count(DISTINCT customer_id) AS n_distinct_customers,
          'offer_' || event_type AS offer_id
@@ -393,6 +418,9 @@ ORACLE = {
     # ---- quality
     "quality_score": f"""WITH {CHECKS}
   SELECT dimension, round(avg(CASE WHEN passed THEN 1 ELSE 0 END), 4) AS score FROM judged GROUP BY dimension
+  UNION ALL SELECT 'overall', round(avg(CASE WHEN passed THEN 1 ELSE 0 END), 4) FROM judged""",
+    "stored_quality_report": f"""WITH {CHECKS}
+  SELECT dimension, round(avg(CASE WHEN passed THEN 1 ELSE 0 END), 4) AS score FROM judged GROUP BY dimension
   UNION ALL SELECT 'overall', round(avg(CASE WHEN passed THEN 1 ELSE 0 END), 4) FROM judged""",
     "quality_failed_checks": f"WITH {CHECKS} SELECT * FROM judged WHERE NOT passed",
     # ---- vectors
@@ -410,10 +438,20 @@ ORACLE = {
   ),
   pairs AS (
     SELECT q.vec_id AS query_id, v.vec_id AS id, v.label, 1.0 - list_cosine_similarity(q.e, v.e) AS d
-    FROM wide q CROSS JOIN wide v
+    FROM wide q CROSS JOIN wide v WHERE q.vec_id % 20 = 0
   ),
   ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, id) AS INTEGER) AS rank FROM pairs)
   SELECT query_id, id, rank, round(d, 5) AS distance, label FROM ranked WHERE rank <= 5""",
+    "vector_topk_dirty": """WITH good AS (
+    SELECT vec_id, CAST(CASE WHEN label % 4 = 3 THEN embedding[1:8] ELSE embedding END AS DOUBLE[]) AS e
+    FROM embeddings WHERE label % 4 NOT IN (1, 2)
+  ),
+  pairs AS (
+    SELECT q.vec_id AS query_id, v.vec_id AS id, list_sum(list_transform(list_zip(q.e, v.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+    FROM good q JOIN good v ON len(q.e) = len(v.e) WHERE q.vec_id % 20 = 0
+  ),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, id) AS INTEGER) AS rank FROM pairs)
+  SELECT query_id, id, rank, round(d, 5) AS distance FROM ranked WHERE rank <= 5""",
     "vector_upsert": """
   SELECT vec_id AS id, CASE WHEN label >= 5 THEN label - 5 ELSE label END AS label,
          CASE WHEN label >= 5 THEN 2 ELSE 1 END AS updated_at, CAST(len(embedding) AS INTEGER) AS n_dims

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import with_event_ts
 from tidemark.operators import facts, gates, history, ledger, quality, silver, vectors
 from tidemark.operators.lanes import latest_per_key
-from tidemark.schemas import EVENT
-from tidemark.sources.bronze import list_batches
+from tidemark.schemas import CORRUPT, EVENT, GOLD
+from tidemark.plans.monthly import Warehouse, run_monthly
+from tidemark.sources import tables
+from tidemark.sources.bronze import RAW, land_bronze, list_batches, write_bronze
 from tidemark.workload import inputs as i
 
 # The customers' segments in `orders`.
@@ -51,6 +53,14 @@ def scd2_version_numbers(spark, sf):
     return history.number_versions(scd2_dim_customer(spark, sf)).select("customer_id", "valid_from", "version")
 
 
+def version_numbers_null_time(spark, sf):
+    """Versions that began in a February lost their time: they count before all others."""
+    dim = scd2_dim_customer(spark, sf).select(
+        "customer_id", "segment", F.when(F.month("valid_from") != 2, F.col("valid_from")).alias("valid_from")
+    )
+    return history.number_versions(dim).select("customer_id", "valid_from", "segment", "version")
+
+
 def _filled(spark, sf):
     """History of filled orders only: late for some customers, absent for others."""
     filled = i.order_history_events(spark, sf).where(F.col("event_type") == "F")
@@ -78,7 +88,7 @@ def fact_engagement_daily(spark, sf):
 
 
 def dim_offer(spark, sf):
-    return facts.build_dim_offer(i.daily_events(spark, sf), offer_types=("view", "purchase"))
+    return facts.build_dim_offer(fact_engagement_daily(spark, sf), offer_types=("view", "purchase"))
 
 
 def fact_by_segment(spark, sf):
@@ -111,6 +121,25 @@ def gate_scorecard(spark, sf):
     return _scorecard(spark, sf)
 
 
+def gate_malformed_amount(spark, sf):
+    """Orders as JSON lines; pending ones have an amount with decimals in May, and as text in June."""
+    fields = [c for c in EVENT.names if c not in ("ts", "amount_cents")]
+    number = F.lit('"amount_cents":')
+    amount = F.col("amount_cents").cast("string")
+    pending = F.col("event_type") == "P"
+    written = (
+        F.when(pending & (F.month("ts") == 5), F.concat(number, F.lit("-"), amount, F.lit(".5")))
+        .when(pending & (F.month("ts") == 6), F.concat(number, F.lit('"-'), amount, F.lit('x"')))
+        .otherwise(F.concat(number, amount))
+    )
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts")
+    line = F.concat(F.lit("{"), written, F.lit(","), F.substr(F.to_json(F.struct(*fields, stamp)), F.lit(2)))
+    read = F.from_json(line, RAW, {"columnNameOfCorruptRecord": CORRUPT})
+    events = i.order_events(spark, sf).select("batch", read.alias("e")).select("batch", "e.*")
+    known = i.known_customers(spark, sf).select(F.col("customer_id").cast("string"))
+    return gates.gate_scorecard(events, known, gates=("required_fields",), **DOMAIN)
+
+
 def gate_cardinality_drift(spark, sf):
     drift = gates.drift_table(_facts(spark, sf), **DOMAIN)
     return drift.select(
@@ -156,7 +185,7 @@ def gold_fact_engagement_daily(spark, sf):
 
 
 def gold_dim_offer(spark, sf):
-    return facts.build_dim_offer(_promoted(spark, sf), offer_types=("O", "F"))
+    return facts.build_dim_offer(gold_fact_engagement_daily(spark, sf), offer_types=("O", "F"))
 
 
 def referential_orphans(spark, sf):
@@ -180,6 +209,53 @@ def json_events(spark, sf):
     )
 
 
+def landed_batches(spark, sf):
+    """Orders written as JSON lines, one file or more a month, landed and read back from bronze."""
+    root = i.scratch(spark)
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts")
+    fields = [c for c in EVENT.names if c != "ts"]
+    lines = i.order_events(spark, sf).select(
+        F.to_json(F.struct(*fields, stamp)).alias("value"), F.concat("batch", F.lit(".jsonl")).alias("month")
+    )
+    lines.repartition("month").write.partitionBy("month").text(f"{root}/in")
+    bronze = land_bronze(spark, f"{root}/in", f"{root}/bronze")
+    return bronze.groupBy(F.substr("batch", F.lit(7)).alias("batch")).agg(
+        F.count("event_ts").alias("n_rows"), F.sum("amount_cents").alias("amount_cents")
+    )
+
+
+def _stored_run(spark, sf):
+    """A monthly run over written tables."""
+    warehouse = Warehouse(i.scratch(spark))
+    write_bronze(i.bronze_events(spark, sf), warehouse.bronze)
+    known = i.known_customers(spark, sf).select(F.col("customer_id").cast("string"))
+    run_monthly(spark, warehouse, known, start=None, segments=i.PRIORITIES, offer_types=("O", "F"))
+    return warehouse
+
+
+def stored_silver(spark, sf):
+    silver_rows = tables.read_silver(spark, _stored_run(spark, sf).silver)
+    return silver_rows.groupBy("batch").agg(
+        F.count_if(F.col("zone") == silver.CLEAN).alias("n_clean"), F.count_if(F.col("zone") == silver.REJECTS).alias("n_rejects")
+    )
+
+
+def stored_gold_fact(spark, sf):
+    """The fact as the run stored it, through a view over its files, in the declared order."""
+    path = tables.gold_path(_stored_run(spark, sf).gold, "fact_engagement_daily")
+    tables.open_view(spark, path, "stored_fact", GOLD["fact_engagement_daily"])
+    return spark.sql(
+        """SELECT CAST(customer_id AS BIGINT) AS customer_id, event_date, event_type, n_events, total_amount_cents
+           FROM stored_fact"""
+    )
+
+
+def stored_quality_report(spark, sf):
+    path = i.scratch(spark)
+    tables.write_quality_report(quality.evaluate(i.value_checks(spark, sf)), path, "workload")
+    return spark.read.schema("dimension string, score double").json(f"{path}/score")
+
+
 def duplicate_keys(spark, sf):
     return gates.duplicate_keys(i.line_events(spark, sf), ["l_orderkey", "l_linenumber"])
 
@@ -270,13 +346,25 @@ def vector_topk_l2(spark, sf):
 
 
 def vector_topk_cosine(spark, sf):
-    """Every vector's five nearest of all labels, with their labels."""
+    """Five nearest of all labels, with their labels, of every vector whose id is divisible by 20."""
     v = i.vectors(spark, sf)
-    found = vectors.knn(v.withColumnRenamed("id", "query_id"), v, k=5, metric="cosine")
+    asked = v.where(F.col("id") % 20 == 0).withColumnRenamed("id", "query_id")
+    found = vectors.knn(asked, v, k=5, metric="cosine")
     labelled = vectors.with_metadata(found, v)
     return labelled.select("query_id", "id", "rank", F.round("distance", 5).alias("distance"), "label")
 
 
+def vector_topk_dirty(spark, sf):
+    """Some labels' vectors hold a NaN, some a null, some are shorter than the others."""
+    kind, e = F.col("label") % 4, F.col("embedding")
+    broken = F.transform(e, lambda x, n: F.when(n == 3, F.when(kind == 1, float("nan"))).otherwise(x).cast("float"))
+    v = i.vectors(spark, sf).withColumn(
+        "embedding", F.when(kind.isin(1, 2), broken).when(kind == 3, F.slice(e, 1, 8)).otherwise(e)
+    )
+    found = vectors.knn(v.where(F.col("id") % 20 == 0).withColumnRenamed("id", "query_id"), v, k=5, metric="l2")
+    return found.select("query_id", "id", "rank", F.round("distance", 5).alias("distance"))
+
+
 def vector_upsert(spark, sf):
     """Vectors of the upper labels were upserted again under a lower label."""
     first = i.vectors(spark, sf).withColumn("updated_at", F.lit(1))
@@ -296,6 +384,7 @@ QUERIES = {
         scd2_multi_current,
         scd2_fingerprint,
         scd2_version_numbers,
+        version_numbers_null_time,
         scd2_point_in_time,
         scd2_truth_reconcile,
         fact_engagement_daily,
@@ -303,6 +392,7 @@ QUERIES = {
         fact_by_segment,
         batch_discovery,
         gate_scorecard,
+        gate_malformed_amount,
         gate_cardinality_drift,
         gate_freshness,
         failed_gates,
@@ -313,6 +403,10 @@ QUERIES = {
         gold_dim_offer,
         referential_orphans,
         json_events,
+        landed_batches,
+        stored_silver,
+        stored_gold_fact,
+        stored_quality_report,
         duplicate_keys,
         silver_dedupe,
         silver_rejects,
@@ -330,6 +424,7 @@ QUERIES = {
         quality_failed_checks,
         vector_topk_l2,
         vector_topk_cosine,
+        vector_topk_dirty,
         vector_upsert,
     )
 }
