@@ -33,7 +33,7 @@ EVENT_DDL = (
     "segment_at_event string, amount_cents bigint, ts string"
 )
 COLUMNS = [c.split()[0] for c in EVENT_DDL.split(", ")]
-PASSES = ("2024-01", "ev-7", "cust_000001", "card_txn", "student", 2599, "2024-01-19T08:30:00Z")
+PASSES = ("2024-01", "ev-7", "cust_000001", "card_txn", "mass", 2599, "2024-01-19T08:30:00Z")
 
 
 def event(**changed):

@@ -249,3 +249,30 @@ def test_empty_events(spark):
     dim = h.build_dim_customer(empty)
     assert dim.isEmpty() and dim.columns == h.HISTORY_COLUMNS
     assert h.overlap_audit(dim).isEmpty()
+
+
+@pytest.mark.parametrize("slots", [1, 3])
+def test_versions_without_time_count_first_whether_hot_or_not(spark, monkeypatch, slots):
+    monkeypatch.setattr("tidemark.operators.lanes.SLOTS", slots)
+    rng = random.Random(slots)
+    rows = [
+        (rng.choice("abc"), rng.choice(["s", "t"]), None if rng.random() < 0.2 else datetime(2024, 1, rng.randrange(1, 9), rng.randrange(24)))
+        for _ in range(120)
+    ]
+    frame = spark.createDataFrame(rows, "customer_id string, segment string, valid_from timestamp_ntz")
+    ways = [
+        sorted(map(tuple, h.number_versions(frame, hot_rows=hot, lane=lane).select("customer_id", "version", "valid_from", "segment").collect()), key=repr)
+        for hot, lane in ((10**9, "day"), (0, "day"), (0, "hour"), (300 * slots, "day"))
+    ]
+    assert all(way == ways[0] for way in ways)
+    plain = {c: sorted((r for r in rows if r[0] == c), key=lambda r: (r[2] is not None, r[2] or datetime.min, r[1])) for c in "abc"}
+    assert ways[0] == sorted(((c, n + 1, r[2], r[1]) for c, own in plain.items() for n, r in enumerate(own)), key=repr)
+
+
+def test_fingerprint_tells_texts_with_its_own_marks_apart(spark):
+    def mark(*rows):
+        return h.fingerprint(spark.createDataFrame(list(rows), "a string, b string")).first()
+
+    frames = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("\\N", "c"), ("n", "c"), ("1:a", ""), ("1", ":a"), ("", None), (None, "")]
+    assert len({mark(r) for r in frames}) == len(frames)
+    assert mark(frames[0], frames[1]) == mark(frames[1], frames[0])
