@@ -13,6 +13,17 @@ IDLE_PARTS = 1024
 HISTORY_COLUMNS = ["customer_id", "segment", "valid_from", "valid_to", "is_current"]
 
 
+def hot_customers(
+    events: DataFrame, *, customer: str = "customer_id", ts: str = "event_ts", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The customers with about `hot_rows` events or more, to pass as `hot` to the operators below.
+
+    A customer has no more versions than events, so those of a history need not be counted anew.
+    """
+    instants = events.select(F.col(customer).alias("customer_id"), F.col(ts).alias("valid_from"))
+    return hot_keys(instants, "customer_id", F.xxhash64("customer_id", "valid_from"), hot_rows)
+
+
 def build_dim_customer(
     events: DataFrame,
     *,
@@ -21,6 +32,7 @@ def build_dim_customer(
     ts: str = "event_ts",
     lane: str = "day",
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
     ordered: bool = False,
 ) -> DataFrame:
     """One row per customer and run of equal segments, half-open [valid_from, valid_to).
@@ -40,8 +52,8 @@ def build_dim_customer(
         F.col(segment).alias("segment"),
         F.col(ts).alias("valid_from"),
     ).na.drop()
-    instants = events.select(F.col(customer).alias("customer_id"), F.col(ts).alias("valid_from"))
-    hot = hot_keys(instants, "customer_id", F.xxhash64("customer_id", "valid_from"), hot_rows)
+    if hot is None:
+        hot = hot_customers(events, customer=customer, ts=ts, hot_rows=hot_rows)
     points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot, lane).drop("_hot")
 
     in_lane = Window.partitionBy("customer_id", "_lane").orderBy("valid_from", "segment")
@@ -79,7 +91,7 @@ def build_dim_customer(
 def number_versions(history: DataFrame, **hot: object) -> DataFrame:
     """Add `version`: 1, 2, ... per customer in order of valid_from.
 
-    `lane` and `hot_rows`, here and in the other operators over a history, are those of
+    `lane`, `hot_rows` and `hot`, here and in the other operators over a history, are those of
     `running_total`.
     """
     return running_total(
@@ -189,6 +201,7 @@ def point_in_time(
     lane: str = "day",
     hot_rows: int = HOT_ROWS,
     part_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Every event with the `segment` and `valid_from` of the version in force at its time.
 
@@ -215,7 +228,10 @@ def point_in_time(
         F.struct(*events.columns).alias("_event"),
     )
     both_sides = asked.select("_key", "_spread").unionByName(versions.select("_key", "_spread"))
-    hot = hot_keys(both_sides, "_key", F.col("_spread"), hot_rows)
+    if hot is None:
+        hot = hot_keys(both_sides, "_key", F.col("_spread"), hot_rows)
+    else:
+        hot = hot.select(F.col("customer_id").alias("_key"), "_hot")
     asked = cut_lanes(asked, "_key", "_at", hot, lane).drop("_hot")
     versions = cut_lanes(versions.drop("_spread"), "_key", "_at", hot, lane).drop("_hot")
 

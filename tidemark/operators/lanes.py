@@ -82,13 +82,17 @@ def running_total(
     ties: tuple[str, ...] = (),
     lane: str = "day",
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add `out`, the sum of `value` over this and all earlier rows of the same key.
 
     The lanes of a hot key are summed first; each lane then starts from one carry row
     holding the total of the lanes before it. Rows without time come before all others.
+    `hot` gives the hot keys, as from `hot_keys` over the table that `rows` come from; without
+    it `rows` are computed once more to count them. Which keys it holds does not change the result.
     """
-    hot = hot_keys(rows.select(key, ts), key, F.xxhash64(key, ts), hot_rows)
+    if hot is None:
+        hot = hot_keys(rows.select(key, ts), key, F.xxhash64(key, ts), hot_rows)
     cut = cut_lanes(rows.withColumn("_value", value), key, ts, hot, lane)
 
     earlier_lanes = Window.partitionBy(key).orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)

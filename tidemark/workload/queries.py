@@ -20,8 +20,13 @@ DOMAIN = {"segments": i.PRIORITIES}
 # ---- history ---------------------------------------------------------------
 
 
+def _hot(spark, sf):
+    """Customers with very many orders, counted once for all that is derived from the orders."""
+    return history.hot_customers(i.order_history_events(spark, sf))
+
+
 def scd2_dim_customer(spark, sf):
-    return history.build_dim_customer(i.order_history_events(spark, sf))
+    return history.build_dim_customer(i.order_history_events(spark, sf), hot=_hot(spark, sf))
 
 
 def cohort_retention(spark, sf):
@@ -33,11 +38,11 @@ def cohort_summary(spark, sf):
 
 
 def scd2_overlap_audit(spark, sf):
-    return history.overlap_audit(i.broken_history(scd2_dim_customer(spark, sf)))
+    return history.overlap_audit(i.broken_history(scd2_dim_customer(spark, sf)), hot=_hot(spark, sf))
 
 
 def scd2_overlap_clean(spark, sf):
-    found = history.overlap_audit(scd2_dim_customer(spark, sf))
+    found = history.overlap_audit(scd2_dim_customer(spark, sf), hot=_hot(spark, sf))
     return found.agg(F.count("*").alias("n_overlaps"))
 
 
@@ -50,7 +55,9 @@ def scd2_fingerprint(spark, sf):
 
 
 def scd2_version_numbers(spark, sf):
-    return history.number_versions(scd2_dim_customer(spark, sf)).select("customer_id", "valid_from", "version")
+    return history.number_versions(scd2_dim_customer(spark, sf), hot=_hot(spark, sf)).select(
+        "customer_id", "valid_from", "version"
+    )
 
 
 def version_numbers_null_time(spark, sf):
@@ -58,26 +65,27 @@ def version_numbers_null_time(spark, sf):
     dim = scd2_dim_customer(spark, sf).select(
         "customer_id", "segment", F.when(F.month("valid_from") != 2, F.col("valid_from")).alias("valid_from")
     )
-    return history.number_versions(dim).select("customer_id", "valid_from", "segment", "version")
+    return history.number_versions(dim, hot=_hot(spark, sf)).select("customer_id", "valid_from", "segment", "version")
 
 
 def _filled(spark, sf):
     """History of filled orders only: late for some customers, absent for others."""
     filled = i.order_history_events(spark, sf).where(F.col("event_type") == "F")
-    return history.build_dim_customer(filled)
+    return history.build_dim_customer(filled, hot=_hot(spark, sf))
 
 
 def scd2_point_in_time(spark, sf):
     orders = i.order_history_events(spark, sf).select("event_id", "customer_id", "event_ts")
-    return history.point_in_time(orders, _filled(spark, sf), spread_by=["event_id"])
+    return history.point_in_time(orders, _filled(spark, sf), spread_by=["event_id"], hot=_hot(spark, sf))
 
 
 def scd2_truth_reconcile(spark, sf):
     """Histories built without pending and without open orders, against each other."""
     events = i.order_history_events(spark, sf)
-    rebuilt = history.build_dim_customer(events.where(F.col("event_type") != "P"))
-    truth = history.build_dim_customer(events.where(F.col("event_type") != "O"))
-    return history.reconcile_history(rebuilt, truth)
+    hot = _hot(spark, sf)
+    rebuilt = history.build_dim_customer(events.where(F.col("event_type") != "P"), hot=hot)
+    truth = history.build_dim_customer(events.where(F.col("event_type") != "O"), hot=hot)
+    return history.reconcile_history(rebuilt, truth, hot=hot)
 
 
 # ---- facts -----------------------------------------------------------------
@@ -95,7 +103,7 @@ def fact_by_segment(spark, sf):
     """The daily fact joined to the customer version valid on the day, per segment and type."""
     fact = facts.build_fact_engagement_daily(i.order_history_events(spark, sf))
     return (
-        history.point_in_time(fact, _filled(spark, sf), ts="event_date")
+        history.point_in_time(fact, _filled(spark, sf), ts="event_date", hot=_hot(spark, sf))
         .groupBy("segment", "event_type")
         .agg(F.sum("n_events").alias("n_events"), F.sum("total_amount_cents").alias("total_amount_cents"))
     )
