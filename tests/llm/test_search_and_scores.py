@@ -99,6 +99,20 @@ def test_common_pivots_and_block_join(copies, monkeypatch):
     assert groups_of(df, task_shingles=500) == brute_groups(rows)
 
 
+def test_common_passage_links_over_batches_with_unlike_first_holders(spark, monkeypatch):
+    """The first holder of a common passage goes on with another passage in each batch."""
+    monkeypatch.setattr(jaccard_join, "COMMON_DOCS", 3)
+    p, q, r = ([f"{c}{i}" for i in range(100)] for c in "pqr")
+    batches = []
+    for b, other in enumerate((q, r)):
+        batches += [[*p, *other], [*p, f"only{b}"], *([*other, *(f"u{b}{i}{j}" for j in range(40))] for i in range(8))]
+    rows = [(i, " ".join(words)) for i, words in enumerate(batches)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    expected = brute_groups(rows)
+    assert expected[11][1] == 1
+    assert groups_of(df) == expected
+
+
 def test_pipeline_keeps_one_of_each_group(copies):
     rows, df = copies
     docs = df.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).alias("n_chars"))
