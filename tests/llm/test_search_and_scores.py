@@ -266,6 +266,34 @@ def test_factors_learn_what_weights_cannot():
     assert auc(model.raw(term, begins), label) < 0.65
 
 
+def test_shipped_settings_learn_pairs_of_neutral_terms():
+    """Toxic only by two terms together, each of them as frequent in other texts; among many other terms."""
+    rng = np.random.default_rng(5)
+
+    def sample(n):
+        cells, label = [], []
+        for _ in range(n):
+            a, b = rng.random(2) < 0.5
+            cells.append(np.array(sorted([3 if a else 4, 5 if b else 6, *rng.choice(np.arange(100, 160), 10, replace=False)])))
+            label.append(float(a == b))
+        return np.concatenate(cells), np.concatenate([[0], np.cumsum([len(c) for c in cells])]), np.array(label)
+
+    term, begins, label = sample(6000)
+    model = toxicity.fit(term, begins, label, bits=8)
+    assert not model.linear[3:7].any()
+    term, begins, label = sample(1000)
+    assert auc(model.raw(term, begins), label) > 0.95
+
+
+def test_training_rows_are_one_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda term, begins, label, bits: seen.append(len(label)) or toxicity.Model(0.0, *[np.zeros(1)] * 3))
+    docs = spark.createDataFrame([(1, "a bad text")] * 50 + [(2, "a good text")], "doc_id int, text string")
+    labels = spark.createDataFrame([(1, 1)] * 3 + [(2, 0)], "doc_id int, toxic int")
+    toxicity.train(docs, labels)
+    assert seen == [2]
+
+
 def test_pair_sums_equal_the_plain_double_loop():
     rng = np.random.default_rng(1)
     model = toxicity.Model(0.3, rng.normal(size=32), rng.normal(size=(32, 4)), np.ones(32, bool))

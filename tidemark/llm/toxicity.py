@@ -24,9 +24,11 @@ TRAIN_DOCS = 12_000
 # A term is learned if this many of them hold it.
 LEAST_DOCS = 4
 PREFIXES = (4, 5, 6, 7, 8)
-# ... and if its share among toxic and other texts differs by so many standard errors.
+# Its share among toxic and other texts must differ by so many standard errors for a weight of its own;
+# terms that tell nothing alone take part in pairs only.
 LEAST_Z = 4.5
 EPOCHS = 12
+FACTOR_STEP, FACTOR_DECAY = 0.003, 2e-3
 THRESHOLD = 0.3
 
 # Letters and digits make words; A-Z are lower-cased. Bytes of other scripts count as letters.
@@ -116,7 +118,8 @@ def fit(term: np.ndarray, begins: np.ndarray, label: np.ndarray, bits: int = BIT
     rng = np.random.default_rng(seed)
     counts = np.diff(begins)
     held_by = np.bincount(term, minlength=1 << bits)
-    known = (held_by >= LEAST_DOCS) & (np.abs(_difference(term, counts, label, held_by)) >= LEAST_Z)
+    known = held_by >= LEAST_DOCS
+    weighs = known & (np.abs(_difference(term, counts, label, held_by)) >= LEAST_Z)
     linear, factors = np.zeros(1 << bits), rng.normal(0, 0.02, (1 << bits, FACTORS))
     rate = float(np.clip(label.mean() if len(label) else 0.5, 1e-3, 1 - 1e-3))
     model = Model(float(np.log(rate / (1 - rate))), linear, factors, known)
@@ -143,12 +146,14 @@ def fit(term: np.ndarray, begins: np.ndarray, label: np.ndarray, bits: int = BIT
             raw += 0.5 * ((total**2).sum(1) - np.bincount(row, (v * v).sum(1), len(docs)))
             error = 1 / (1 + np.exp(-np.clip(raw, -30, 30))) - label[docs]
             model.bias -= 0.02 * float(error.mean())
+            u, own = np.unique(t, return_inverse=True)
             grad = error[row] + 2e-4 * linear[t]
-            np.add.at(g_linear, t, grad * grad)
-            np.add.at(linear, t, -0.15 * rarity[t] * grad / np.sqrt(g_linear[t]))
-            grad_v = error[row][:, None] * (total[row] - v) * share + 2e-3 * factors[t]
-            np.add.at(g_factors, t, grad_v * grad_v)
-            np.add.at(factors, t, -0.02 * grad_v / np.sqrt(g_factors[t]))
+            g_linear[u] += np.bincount(own, grad * grad)
+            linear[u] -= weighs[u] * 0.15 * rarity[u] * np.bincount(own, grad) / np.sqrt(g_linear[u])
+            grad_v = error[row][:, None] * (total[row] - v) * share + FACTOR_DECAY * factors[t]
+            for f in range(FACTORS):
+                g_factors[u, f] += np.bincount(own, grad_v[:, f] ** 2)
+                factors[u, f] -= FACTOR_STEP * np.bincount(own, grad_v[:, f]) / np.sqrt(g_factors[u, f])
     return model
 
 
@@ -160,13 +165,14 @@ def train(
 
     Of each label (0, 1; other rows are left out) those `train_docs / 2` are taken whose ids hash smallest, so
     that a rare label is seen; the bias is set back to the true rate. The chosen labels, no more than
-    `train_docs` rows, are broadcast to the documents, and the driver gathers hashed terms of their texts.
+    `train_docs` rows, are broadcast to the documents, and the driver gathers hashed terms of their texts: one
+    row of each id, however often it is there (of several texts that whose terms sort first).
     """
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(id_col).alias("labelled"), F.col(label).cast("int").alias("y"))
     rates = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}  # two rows
-    zero, one = (known.where(F.col("y") == y).orderBy(F.xxhash64("labelled"), "labelled").limit(train_docs // 2) for y in (0, 1))
+    zero, one = (known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("labelled"), "labelled").limit(train_docs // 2) for y in (0, 1))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
-    rows = texts.join(F.broadcast(zero.union(one)), F.col("id") == F.col("labelled")).select("y", "t")
+    rows = texts.join(F.broadcast(zero.union(one)), F.col("id") == F.col("labelled")).select("y", "t", "id")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,9 +180,10 @@ def train(
             for first, end in pieces(offsets):
                 term, begins = terms(offsets[first : end + 1], data, bits)
                 cells = [term[a:b].astype(np.int32).tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[first:end], pa.array(cells, pa.binary())], ["y", "terms"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:end], pa.array(cells, pa.binary()), batch.column(2)[first:end]], ["y", "terms", "id"])
 
-    found = rows.mapInArrow(emit, "y int, terms binary").toArrow()
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = rows.mapInArrow(emit, f"y int, terms binary, id {kind}").groupBy("id", "y").agg(F.min("terms").alias("terms")).toArrow()
     y = np.asarray(found["y"], float)
     cells = [np.frombuffer(b, np.int32).astype(np.int64) for b in found["terms"].to_pylist()]
     order = sorted(range(len(cells)), key=lambda i: (cells[i].tobytes(), y[i]))  # the same model whatever order rows come in
