@@ -12,6 +12,7 @@ import datetime
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -137,8 +138,8 @@ def _iban(p: Permutation, text: str, back: bool) -> str | None:
     return "".join(" " if c == " " else next(rest) for c in text)
 
 
-def _date(order: str) -> Callable[[Permutation, str, bool], str | None]:
-    """`order` names the parts in the text: y, m, d."""
+def _date(order: str, least_day: int = 1) -> Callable[[Permutation, str, bool], str | None]:
+    """`order` names the parts in the text: y, m, d. Days before `least_day` are left to another order."""
 
     def change(p: Permutation, text: str, back: bool) -> str | None:
         parts = re.split(r"[-/.]", text)
@@ -147,25 +148,105 @@ def _date(order: str) -> Callable[[Permutation, str, bool], str | None]:
             day = datetime.date(values["y"], values["m"], values["d"]).toordinal()
         except ValueError:
             return None
-        if not FIRST_DAY <= day <= LAST_DAY:
+        if not FIRST_DAY <= day <= LAST_DAY or values["d"] < least_day:
             return None
-        new = datetime.date.fromordinal(FIRST_DAY + p.apply(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", back))
+        while True:
+            day = FIRST_DAY + p.apply(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", back)
+            if (new := datetime.date.fromordinal(day)).day >= least_day:
+                break
         written = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
         return re.sub(r"\d+", lambda m, names=iter(order): written[next(names)], text)
 
     return change
 
 
+# How long the IBANs of a country are.
+IBAN_CHARS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 BA20 BE16 BG22 CH21 CY28 CZ24 DE22 DK18 EE20 ES24 FI18 FR27 GB22 GI23 GR27 HR21 HU28 IE22 IL23 IS26 "
+    "IT27 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MT31 NL18 NO15 PL28 PT25 RO24 RS22 SA24 SE24 SI19 SK24 SM27 TR26 UA29"
+).split()}
+# How cards are grouped.
+CARD_GROUPS = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|[0-9]{6}\1[0-9]{4,5})")
+
+
+class Runs(NamedTuple):
+    """Values of whole groups within a run of groups: a number may stand beside other numbers or words."""
+
+    least: int  # characters, without what stands between groups
+    most: int
+    begins: re.Pattern
+    not_before: re.Pattern  # what may not follow the last group
+    usual: Callable[[str], bool]  # written as such values are: goes before runs of other groups
+
+    def taken(self, text: str, groups: list[tuple[int, int]], i: int, change: Callable[[str], str | None]) -> int:
+        """The end of the value that begins at group i, or i. It depends on less than 2 * `most` characters from there."""
+
+        def ends(i: int) -> Iterator[int]:
+            size = 0
+            if not self.begins.match(text, groups[i][0]):
+                return
+            for j in range(i, len(groups)):
+                size += groups[j][1] - groups[j][0]
+                if size > self.most:
+                    return
+                if size >= self.least and not (j == len(groups) - 1 and self.not_before.match(text, groups[j][1])):
+                    yield j + 1
+
+        def own(i: int, j: int) -> str:
+            return text[groups[i][0] : groups[j - 1][1]]
+
+        def usual(i: int) -> int:
+            return max((j for j in ends(i) if self.usual(own(i, j)) and change(own(i, j)) is not None), default=i)
+
+        if (j := usual(i)) > i:
+            return j
+        for j in sorted(ends(i), reverse=True):
+            if change(own(i, j)) is not None and all(usual(k) == k for k in range(i + 1, j)):
+                return j
+        return i
+
+    def find(self, text: str, end: int, change: Callable[[str], str | None], back: bool) -> list[tuple[int, int, str]]:
+        """(start, end, new) of the values in a run, which ends at `end` of the text. Where a new value would make up another one together with
+        its neighbours, it is changed again, so that `restore` finds the values in the same places."""
+        groups = [m.span() for m in re.finditer(r"[A-Za-z0-9]+", text[:end])]
+        steps, i = [], 0
+        while i < len(groups):
+            j = self.taken(text, groups, i, change)
+            steps.append((i, j))
+            i = max(j, i + 1)
+        spans, now = [], text
+        numbered = [(n, i, j) for n, (i, j) in enumerate(steps) if j > i]
+        for n, i, j in reversed(numbered) if back else numbered:
+            start, end = groups[i][0], groups[j - 1][1]
+            first = n
+            while first and i - steps[first - 1][0] <= 2 * self.most:
+                first -= 1
+            value = now[start:end]
+            while True:
+                value = change(value)
+                now = now[:start] + value + now[end:]
+                if all(self.taken(now, groups, a, change) == b for a, b in steps[first : n + 1]):
+                    break
+            spans.append((start, end, value))
+        return spans
+
+
+RUNS = {
+    "card": Runs(13, 19, re.compile("[0-9]"), re.compile(r"[\w-]"), lambda x: CARD_GROUPS.fullmatch(x) is not None),
+    "iban": Runs(15, 34, re.compile("[A-Z]{2}[0-9]{2}"), re.compile("[A-Za-z0-9]"), lambda x: len(x.replace(" ", "")) == IBAN_CHARS.get(x[:2])),
+}
+
 # Kinds by precedence: where two overlap, the one that begins first wins, then the one named first.
 KINDS: list[tuple[str, re.Pattern, Callable[[Permutation, str, bool], str | None]]] = [
     ("email", re.compile(r"(?<![\w.+-])\w[\w.+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![\w-])"), _email),
-    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), _iban),
+    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})[A-Z0-9]*+(?: [A-Z0-9]++)*+"), _iban),
     ("ip", re.compile(r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?\w)"), _ip),
     ("date", re.compile(r"(?<![\w./-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\w/-])"), _date("ymd")),
     ("date", re.compile(r"(?<![\w./-])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![\w/-])"), _date("dmy")),
     ("date", re.compile(r"(?<![\w./-])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![\w/-])"), _date("mdy")),
+    ("date", re.compile(r"(?<![\w./-])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![\w/-])"), _date("dmy", least_day=13)),
     ("ssn", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), _ssn),
-    ("card", re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"), _card),
+    ("card", re.compile(r"(?<![\w.+-])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?:[ -][0-9]++)*+"), _card),
     ("phone", re.compile(r"(?<![\w.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])?[0-9]{3}[.-][0-9]{4}(?![\w-])"), _phone),
     ("phone", re.compile(r"(?<![\w.+-])\+[0-9]{1,3}(?:[ .-]?[0-9]){7,12}(?![\w-])"), _phone),
 ]
@@ -181,7 +262,10 @@ def find(p: Permutation, text: str, back: bool = False) -> list[tuple[int, int,
         if (kind == "email") and "@" not in text:
             continue
         for m in pattern.finditer(text):
-            if (new := change(p, m[0], back)) is not None:
+            if runs := RUNS.get(kind):
+                found = runs.find(text[m.start() : m.end() + 1], m.end() - m.start(), lambda x, change=change: change(p, x, back), back)
+                hits += [(m.start() + start, rank, m.start() + end, kind, new) for start, end, new in found]
+            elif (new := change(p, m[0], back)) is not None:
                 hits.append((m.start(), rank, m.end(), kind, new))
     found, at = [], 0
     for start, _, end, kind, new in sorted(hits):
