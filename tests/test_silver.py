@@ -1,5 +1,8 @@
 from conftest import event
 
+from pyspark.sql import functions as F
+
+from tidemark.operators import silver
 from tidemark.operators.silver import silverize, zone_rows
 
 
@@ -36,6 +39,26 @@ def test_rows_without_id_are_each_a_reject(events):
     assert (s.bronze_rows, s.silver_rows, s.rejects, s.duplicates) == (3, 1, 2, 0)
 
 
+def test_very_many_equal_rows_without_id_come_back_in_chunks(spark, events, monkeypatch):
+    sizes = spark.sql("select bigint(n) as n from values (1), (65536), (65537), (8589934597) as v(n)").select("n", silver.chunks(F.col("n")).alias("c"))
+    for n, c in sizes.collect():
+        assert sum(c) == n and max(c) <= silver.CHUNK
+    monkeypatch.setattr(silver, "CHUNK", 7)
+    frame = events([event(event_id=None)] * 100 + [event()] * 3)
+    _, rejects, stats = silverize(frame)
+    assert rejects.count() == 100 and stats.first().duplicates == 2
+
+
+def test_equal_rows_without_id_do_not_meet_in_one_group(spark, events):
+    frame = events([event(event_id=None)] * 100).repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = zone_rows(frame).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 100
+
+
 def test_unreadable_time_is_a_reject(events):
     _, rejects, _ = silverize(events([event(ts="soon"), event(event_id="e2")]))
     assert [r.ts for r in rejects.collect()] == ["soon"]

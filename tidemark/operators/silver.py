@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import any_null, with_event_ts
@@ -12,6 +12,8 @@ from tidemark.operators.lanes import first_per_key
 from tidemark.schemas import REQUIRED_FIELDS
 
 CLEAN, REJECTS = "clean", "rejects"
+# Equal rows without an id that are brought back at a time.
+CHUNK = 65_536
 
 
 class Silver(NamedTuple):
@@ -20,6 +22,12 @@ class Silver(NamedTuple):
     stats: DataFrame
 
 
+def chunks(n: Column) -> Column:
+    """`n` as an array of numbers up to CHUNK that add up to it."""
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / CHUNK))
+    return F.transform(numbers, lambda i: F.least(F.lit(CHUNK), n - i * CHUNK).cast("int"))
+
+
 def zone_rows(
     events: DataFrame, *, keys: tuple[str, ...] = ("event_id",), required: tuple[str, ...] = REQUIRED_FIELDS
 ) -> DataFrame:
@@ -35,12 +43,15 @@ def zone_rows(
     no_id = any_null(keys)
 
     # A row without id is grouped by all it holds, and comes back as often as it was there: one scan for all.
-    alone = F.when(no_id, F.struct(*events.columns))
+    # Each partition has a group of its own, so that very many equal rows do not meet in one task.
+    alone = F.when(no_id, F.struct(F.spark_partition_id().alias("_part"), *events.columns))
     survivors = first_per_key(
         events.withColumn("_alone", alone), [*group, "_alone"], [incomplete, F.col("event_ts")], copies="n_copies"
     ).drop("_alone")
     one = F.lit(1).cast("bigint")
-    times = F.when(no_id, F.array_repeat(one, F.col("n_copies").cast("int"))).otherwise(F.array("n_copies"))
+    cut = F.when(no_id, chunks(F.col("n_copies"))).otherwise(F.array(F.lit(1)))
+    survivors = survivors.select(*events.columns, "n_copies", F.explode(cut).alias("_chunk"))
+    times = F.when(no_id, F.array_repeat(one, F.col("_chunk"))).otherwise(F.array("n_copies"))
     rows = survivors.select(*events.columns, F.explode(times).alias("n_copies"))
     return rows.withColumn("zone", F.when(incomplete, REJECTS).otherwise(CLEAN))
 
