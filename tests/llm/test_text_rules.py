@@ -58,6 +58,15 @@ def test_quality_verdict(spark):
     assert not kept[3][0] and not kept[4][0] and not kept[5][0]
 
 
+@pytest.mark.parametrize("phrase", ["our privacy policy", "copyright 2020", "click here to read", "aa · bb · cc · dd", "what?? no!! why?! so"])
+def test_one_phrase_does_not_fail_a_long_line(spark, phrase):
+    clean = [" ".join(f"Word a{i} of b{i} text, and c{i} says d{i} something e{i} new." for i in range(a, a + 12)) for a in (0, 12)]
+    rows = [(1, f"{clean[0]} {phrase} {clean[1]}"), (2, f"{phrase} now"), (3, " ".join(f"{phrase} x{i} y{i} z{i}" for i in range(40)))]
+    out = {r.doc_id: r for r in quality.assess(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert out[1].kept and out[1].cleaned == rows[0][1]
+    assert out[2].n_failed_lines == out[3].n_failed_lines == 1
+
+
 def test_secret_patterns(docs):
     kinds = [
         (re.compile(secrets.ASSIGN), lambda m: len(m[1]) >= 8),

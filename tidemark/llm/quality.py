@@ -8,12 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import apart, together, words_of
+from tidemark.llm.rows import SPACE_RUN, apart, together, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # A document that loses more than this share of its letters, digits and marks is rejected.
 MAX_LOST_PERCENT = 40
+# A line fails if one of its rules matches at least once in so many words: one phrase does not fail a long line.
+WORDS_PER_MATCH = 40
 
 # The symbols counted by n_symbols.
 SYMBOLS = r"[#*$%&|<>]"
@@ -34,7 +36,12 @@ BOILERPLATE = (
 
 def line_fails(line: Column) -> Column:
     symbols = F.length(line) - F.length(F.regexp_replace(line, SYMBOLS, ""))
-    return (symbols * 8 > F.length(line)) | line.rlike(BAD_PUNCTUATION) | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
+
+    def often(pattern: str) -> Column:
+        words = F.regexp_count(line, F.lit(SPACE_RUN)) + 1
+        return line.rlike(pattern) & (F.regexp_count(line, F.lit(pattern)) * WORDS_PER_MATCH >= words)
+
+    return (symbols * 8 > F.length(line)) | often(BAD_PUNCTUATION) | often(NAVIGATION) | often(BOILERPLATE)
 
 
 def assess(
@@ -51,7 +58,8 @@ def assess(
     n_lines, n_failed_lines, lost_percent (double), cleaned (the lines that pass, each
     distinct line once) and kept. An input column of such a name is replaced.
 
-    A line fails by its punctuation, as navigation or as boilerplate; a line that equals
+    A line fails by its punctuation, as navigation or as boilerplate, in a long line only if that comes again
+    and again; a line that equals
     an earlier one is lost too. A document is kept if it has enough words, few repeated
     3-word windows and at least (100 - max_lost_percent) % of its characters in lines that
     pass. Null and empty texts have counts of 0 and fail. Repeated rows are judged each on
