@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import jaccard_join, language_model, licenses, mixing, neighbours, packing, pii, quality, secrets, toxicity
+from tidemark.llm import (
+    alignment, byte_bpe, jaccard_join, language_model, licenses, mixing, neighbours, packing, periodic, pii, quality, secrets, toxicity,
+)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LONG = " ".join(f"word{i % 700} and{i}" for i in range(30_000))
@@ -53,6 +55,9 @@ OPERATORS = {
     "language_model": (language_model.score, len(ROWS)),
     "licenses": (lambda d: licenses.scan(d, "source"), len(ROWS)),
     "pii": (lambda d: pii.pseudonymise(d, b"key"), len(ROWS)),
+    "byte_bpe": (lambda d: byte_bpe.encode(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), len(ROWS)),
+    "alignment": (lambda d: alignment.link_counts(d, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")), len(ROWS)),
+    "periodic": (periodic.find_runs, len(ROWS)),
     "toxicity": (lambda d: toxicity.score(d, model_of(d)), len(ROWS)),
 } | {f"stage_{n}": (lambda d, f=f: f(d.sparkSession, d, ""), None) for n, f in corpus_pipeline.STAGES}
 
