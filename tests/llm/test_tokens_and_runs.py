@@ -108,9 +108,11 @@ def test_words_of_every_character_are_those_of_the_tokenizer():
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=5))
 def test_words_make_up_the_texts(texts):
-    words, codes, first = byte_bpe.distinct_words(pa.array(texts, pa.large_string()), byte_bpe.word_pattern(public_tokenizers.PATTERN))
-    assert ["".join(words[c] for c in codes[a:b]) for a, b in zip(first[:-1], first[1:])] == texts
-    assert len(set(words)) == len(words)
+    found = byte_bpe.Words(pa.array(texts, pa.large_string()), byte_bpe.word_pattern(public_tokenizers.PATTERN))
+    codes, ends = found.codes(), np.concatenate([[0], np.cumsum(found.counts)]).astype(int)
+    assert ["".join(found.words[c] for c in codes[a:b]) for a, b in zip(ends[:-1], ends[1:])] == texts
+    assert len(set(found.words)) == len(found.words)
+    assert (np.diff(np.bincount(codes)) <= 0).all()
 
 
 def test_each_distinct_word_is_encoded_once(spark):

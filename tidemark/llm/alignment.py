@@ -10,6 +10,8 @@ blocks of documents join for the counts of theirs.
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,26 +20,38 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.blocks import BLOCK_BYTES, block_id, blocks_of, ends_of, packed, spread, stretches, unpacked
+from tidemark.llm.blocks import BLOCK_BYTES, block_id, blocks_of, ends_of, give_back, packed, spread, stretches, unpacked
 from tidemark.llm.rows import settle
 from tidemark.llm.tokens import _byte_of_char
 
 # Bits of an id in a pair of ids.
 ID_BITS = 24
 # Groups with more links than this are paired by their distinct ids; the links are the same.
-WIDE_GROUP = 4096
+WIDE_GROUP = 1024
 # Bytes of text whose tokens are aligned at a time.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 18
 
 _SPACE = "▁"
 
 
+# Stretches encoded at a time; what the libraries return for one takes far more room than its ids.
+FEW = 5_000
+# The words of a byte-level vocabulary in printable ASCII (fixed values): where the library itself is not needed to find them.
+_PLAIN = re.compile(r"[ -~\n\t]*")
+_PLAIN_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+
+
 class ByteLevel:
-    """Tokens of a byte-level vocabulary; special tokens are ordinary text."""
+    """Tokens of a byte-level vocabulary; special tokens are ordinary text.
+
+    Where the ids are in the order of the merges, as they usually are, plain stretches are encoded by the ids as ranks;
+    all others by the library.
+    """
 
     def __init__(self, path: str):
         self.model = Tokenizer.from_file(path)
@@ -47,9 +61,24 @@ class ByteLevel:
         for token, i in self.model.get_vocab().items():
             plain = all(c in as_byte for c in token)
             self.bytes[i] = bytes(as_byte[c] for c in token) if plain else token.encode()
+        self.ranks = None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, split = spec["model"]["vocab"], spec.get("pre_tokenizer") or {}
+        merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in spec["model"].get("merges", [])]
+        if split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and spec.get("normalizer") is None and merged == list(range(256, 256 + len(merged))):
+            ranks = {self.bytes[i]: i for i in range(256 + len(merged))}
+            self.ranks = tiktoken.Encoding("plain", pat_str=_PLAIN_WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, stretches: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch(stretches, add_special_tokens=False)]
+        if self.ranks is None:
+            return self._by_library(stretches)
+        plain = [_PLAIN.fullmatch(s) is not None for s in stretches]
+        others = iter(self._by_library([s for s, p in zip(stretches, plain, strict=True) if not p]))
+        return [self.ranks.encode_ordinary(s) if p else next(others) for s, p in zip(stretches, plain, strict=True)]
+
+    def _by_library(self, stretches: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(stretches, add_special_tokens=False)]
 
 
 class Pieces:
@@ -74,19 +103,24 @@ class Pieces:
 
 @lru_cache(4)
 def _load(kind: type, path: str):
-    return kind(path)
+    loaded = kind(path)
+    give_back()
+    return loaded
 
 
 class Side:
     """The tokens of distinct stretches by one tokenizer: ids and lengths in bytes, stretch after stretch."""
 
     def __init__(self, tokenizer, stretches: list[str]):
-        found = tokenizer.encode(stretches)
-        self.count = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids = np.fromiter((i for some in found for i in some), np.int64, int(self.count.sum()))
+        count, flat = array("i"), array("i")
+        for i in range(0, len(stretches), FEW):
+            for ids in tokenizer.encode(stretches[i : i + FEW]):
+                count.append(len(ids))
+                flat.extend(ids)
+        self.count, self.ids = np.array(count, np.int64), np.array(flat, np.int64)
         self.begin = ends_of(self.count)[:-1]
         table = pa.array(tokenizer.bytes, pa.large_binary())
-        self.size = np.fromiter(map(len, tokenizer.bytes), np.int64, len(tokenizer.bytes))[self.ids]
+        self.size = pyarrow.compute.binary_length(table).to_numpy()[self.ids]
         joined = table.take(pa.array(self.ids))
         ends = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1) if len(joined) else np.zeros(1, np.int64)
         data = joined.buffers()[2].to_pybytes() if len(joined) else b""
@@ -208,7 +242,7 @@ def _rows(docs: DataFrame, text: str, id_col: str) -> tuple[DataFrame, str]:
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_col: str = "doc_id", *,
-          block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = BLOCK_BYTES // 8) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_overlaps, groups) of every document.
 
     Side A is a byte-level vocabulary over a space and the text, side B a sentence-piece one, which adds the
@@ -231,7 +265,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_col:
 
 
 def link_counts(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_col: str = "doc_id", *,
-                block_bytes: int = BLOCK_BYTES // 2) -> DataFrame:
+                block_bytes: int = BLOCK_BYTES // 8) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_overlaps, n_best, count_sum, groups_sha256) of every document; cases as in `align`.
 
     A pair of ids counts the documents that hold it linked (rows, if ids repeat). `count_sum` adds the counts of a

@@ -9,15 +9,18 @@ key. Answers go back to the block, which puts them into their places.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 from tidemark.llm.hashing import pieces, text_buffers
 
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 24
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[*range(0x09, 0x0E), *range(0x1C, 0x20), 0x20]] = True
@@ -26,22 +29,39 @@ _WHITE[[*range(0x09, 0x0E), *range(0x1C, 0x20), 0x20]] = True
 def blocks_of(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
     """(ids, texts) of whole documents with about `limit` bytes each; the batches hold an id and a text, null texts are empty.
 
-    A longer document is a block of its own.
+    A longer document is a block of its own. What the work on a block took is given back before the next.
     """
     ids, texts, held = [], [], 0
     for batch in batches:
-        column = batch.column(1).cast(pa.large_string()).fill_null("")
-        offsets, _ = text_buffers(column)
-        for first, end in pieces(offsets, limit):
-            size = int(offsets[end] - offsets[first])
+        sizes = pa.compute.binary_length(batch.column(1)).fill_null(0).to_numpy()
+        for first, end in pieces(ends_of(sizes), max(limit // 8, 1)):
+            size = int(sizes[first:end].sum())
             if ids and held + size > limit:
                 yield pa.concat_arrays(ids), pa.concat_arrays(texts)
                 ids, texts, held = [], [], 0
+                give_back()
             ids.append(batch.column(0).slice(first, end - first))
-            texts.append(column.slice(first, end - first))
+            texts.append(batch.column(1).slice(first, end - first).cast(pa.large_string()).fill_null(""))
             held += size
     if ids:
         yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker lives on for other tasks, and several share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+@lru_cache(1)
+def _libc():
+    try:
+        return ctypes.CDLL(None)
+    except OSError:
+        return None
 
 
 def block_id(ids: pa.Array, texts: pa.Array) -> int:
@@ -91,8 +111,7 @@ def stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     at = np.flatnonzero(begins)
     found = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
     coded = found.dictionary_encode()
-    codes = coded.indices.to_numpy().astype(np.int64)
-    return coded.dictionary.cast(pa.large_string()), codes, np.searchsorted(at[:-1], offsets)
+    return coded.dictionary.cast(pa.large_string()), coded.indices.to_numpy(), np.searchsorted(at[:-1], offsets)
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -106,15 +125,25 @@ def ends_of(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+    """values[starts[i] : starts[i] + lengths[i]] for every i of `at`, in a row; worked out a step at a time, to hold little beside the result."""
+    parts = [at[i : i + step] for i in range(0, len(at), step)]
+    sizes = ends_of(np.array([lengths[part].sum() for part in parts], np.int64))
+    out = np.empty(sizes[-1], values.dtype)
+    for part, a, b in zip(parts, sizes[:-1], sizes[1:], strict=True):
+        out[a:b] = values[spread(starts[part], lengths[part])]
+    return out
+
+
 def packed(numbers: np.ndarray) -> list[bytes]:
     """Numbers below 2**32 as compressed planes of bytes, the lowest first."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    used = 1 + max((i for i in range(4) if planes[i].any()), default=0)
-    return [pa.compress(np.ascontiguousarray(planes[i]), codec="zstd", asbytes=True) for i in range(used)]
+    planes = numbers.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4)
+    used = 1 + (int(numbers.max()).bit_length() - 1) // 8 if numbers.size and numbers.max() else 1
+    return [pa.compress(np.ascontiguousarray(planes[:, i]), codec="zstd", asbytes=True) for i in range(used)]
 
 
 def unpacked(planes: list[bytes], n: int) -> np.ndarray:
     out = np.zeros((n, 4), np.uint8)
     for i, plane in enumerate(planes):
         out[:, i] = np.frombuffer(pa.decompress(plane, n, "zstd"), np.uint8) if n else 0
-    return out.view("<u4").reshape(-1).astype(np.int64)
+    return out.view("<u4").reshape(-1)

@@ -9,6 +9,7 @@ blocks that hold it and put in place by position.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,7 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.blocks import BLOCK_BYTES, block_id, blocks_of, ends_of, packed, spread, stretches, unpacked
+from tidemark.llm.blocks import BLOCK_BYTES, block_id, blocks_of, ends_of, gathered, give_back, packed, stretches, unpacked
+from tidemark.llm.hashing import pieces
+
+# Words of a block that are sent on at a time.
+ROWS = 10_000
+# Tokens decoded at a time; whole texts, a longer one by itself.
+TOKENS = 1_000_000
 
 
 @lru_cache(2)
@@ -48,23 +55,36 @@ def word_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
-def distinct_words(texts: pa.Array, pattern: regex.Pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(distinct words, the most frequent first; code of each word of all texts in a row; first word of each text and the end).
+class Words:
+    """The distinct words of texts, the most frequent first, and the code of the word at every position.
 
-    No match of the pattern goes on over a space behind another character, and none looks back, so distinct stretches are matched once.
+    No match of the pattern goes on over a space behind another character, and none looks back, so
+    distinct stretches are matched once.
     """
-    stretch, at, first = stretches(texts)
-    codes: dict[str, int] = {}
-    own = [[codes.setdefault(word, len(codes)) for word in pattern.findall(s)] for s in stretch.to_pylist()]
-    lengths = np.fromiter(map(len, own), np.int64, len(own))
-    flat = np.fromiter((c for some in own for c in some), np.int64, int(lengths.sum()))
-    places = spread((ends_of(lengths)[:-1])[at], lengths[at])
-    seen = flat[places]
-    order = np.argsort(-np.bincount(seen, minlength=len(codes)), kind="stable")
-    rank = np.empty(len(codes), np.int64)
-    rank[order] = np.arange(len(codes))
-    words = list(codes)
-    return [words[i] for i in order.tolist()], rank[seen], ends_of(lengths[at])[first]
+
+    def __init__(self, texts: pa.Array, pattern: regex.Pattern):
+        stretch, self._at, first = stretches(texts)
+        codes: dict[str, int] = {}
+        flat, lengths = array("i"), array("i")
+        for s in stretch.to_pylist():
+            own = pattern.findall(s)
+            lengths.append(len(own))
+            flat.extend([codes.setdefault(word, len(codes)) for word in own])
+        flat, self._lengths = np.array(flat, np.int32), np.array(lengths, np.int32)
+        self._begins = ends_of(self._lengths)[:-1]
+        times = np.bincount(self._at, minlength=len(self._lengths))
+        order = np.argsort(-np.bincount(flat, np.repeat(times, self._lengths), len(codes)), kind="stable")
+        rank = np.empty(len(codes), np.uint32)
+        rank[order] = np.arange(len(codes), dtype=np.uint32)
+        words = list(codes)
+        self.words = [words[i] for i in order.tolist()]
+        self._flat = rank[flat]
+        #: The words of each text.
+        self.counts = np.diff(ends_of(self._lengths[self._at])[first])
+
+    def codes(self) -> np.ndarray:
+        """The code of every word of all texts in a row."""
+        return gathered(self._flat, self._begins, self._lengths, self._at)
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", id_col: str = "doc_id", *,
@@ -81,68 +101,89 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", id_col
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = word_pattern(pattern)
         for ids, texts in blocks_of(batches, block_bytes):
-            words, codes, first = distinct_words(texts, match)
-            columns = [[block_id(ids, texts)], [ids.to_pylist()], [np.diff(first)], [len(words)], [packed(codes)]]
+            words = Words(texts, match)
+            columns = [[block_id(ids, texts)], [ids.to_pylist()], [words.counts], [len(words.words)], [packed(words.codes())]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, position_types, strict=True)], position_names)
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = word_pattern(pattern)
         for ids, texts in blocks_of(batches, block_bytes):
-            words, _, _ = distinct_words(texts, match)
-            n = len(words)
-            block = pa.array(np.full(n, block_id(ids, texts)))
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), block, pa.array(np.arange(n, dtype=np.int32))], ["word", "block", "code"])
+            words, block = pa.array(Words(texts, match).words, pa.string()), block_id(ids, texts)
+            for i in range(0, len(words), ROWS):
+                part = words.slice(i, ROWS)
+                columns = [part, pa.array(np.full(len(part), block)), pa.array(np.arange(i, i + len(part), dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "block", "code"])
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoding(ranks, pattern)
-        last = (None, b"")  # equal words come in a row, also over two batches
+        last = (None, [])  # equal words come in a row, also over two batches
         for batch in batches:
             coded = batch.column(0).dictionary_encode()
             words = coded.dictionary.to_pylist()
-            found = [last[1] if w == last[0] else np.array(own.encode_ordinary(w), "<u4").tobytes() for w in words]
+            found = [last[1] if w == last[0] else own.encode_ordinary(w) for w in words]
             last = (words[-1], found[-1]) if words else last
-            taken = pa.array(found, pa.binary()).take(coded.indices)
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), taken], ["block", "code", "ids"])
+            yield _answers(batch.column(1).to_numpy(), batch.column(2).to_numpy(), coded.indices.to_numpy(), found)
 
     position_names = ["block", "doc_ids", "n_words", "n_distinct", "planes"]
     id_type = _arrow_type(docs, id_col)
     position_types = [pa.int64(), pa.list_(id_type), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.binary())]
     placed = rows.mapInArrow(positions, f"block long, doc_ids array<{kind}>, n_words array<long>, n_distinct long, planes array<binary>")
     words = rows.mapInArrow(words_of, "word string, block long, code int")
-    answers = words.repartition("word").sortWithinPartitions("word").mapInArrow(encode_words, "block long, code int, ids binary")
+    answers = words.repartition("word").sortWithinPartitions("word").mapInArrow(encode_words, ANSWER)
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = right.column("ids").combine_chunks().cast(pa.large_binary())
-        ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
-        codes = right.column("code").to_numpy()
-        offsets, data = text_buffers_of(ids)
-        out_ids, out_lists = [], []
+        out = []
         for block in left.to_pylist():
-            n = block["n_distinct"]
-            start, length = np.zeros(n, np.int64), np.full(n, -1, np.int64)
-            start[codes], length[codes] = offsets[:-1] // 4, np.diff(offsets) // 4
-            if (length < 0).any():
-                raise RuntimeError("a block was computed again from rows in another order; store the documents first")
+            begins, lengths, ids = _joined(right, block["n_distinct"])
             counts = np.array(block["n_words"], np.int64)
             at = unpacked(block["planes"], int(counts.sum()))
-            flat = data[spread(start[at], length[at])].astype(np.int32)
-            ends = ends_of(length[at])[ends_of(counts)]
-            out_ids.append(pa.array(block["doc_ids"], id_type))
-            out_lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
-        if not out_ids:
-            return pa.table({"doc_id": pa.array([], id_type), "ids": pa.array([], pa.list_(pa.int32()))})
-        return pa.table({"doc_id": pa.chunked_array(out_ids), "ids": pa.chunked_array(out_lists)})
+            flat = gathered(ids, begins, lengths, at)
+            ends = ends_of(lengths[at])[ends_of(counts)]
+            give_back()
+            out.append(pa.table([pa.array(block["doc_ids"], id_type), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names))
+        return pa.concat_tables(out) if out else pa.table([pa.array([], id_type), pa.array([], pa.list_(pa.int32()))], names)
 
+    names = ["doc_id", "ids"]
     both = placed.groupBy("block").cogroup(answers.groupBy("block"))
     return both.applyInArrow(reassemble, f"doc_id {kind}, ids array<int>")
 
 
-def text_buffers_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets in bytes from 0, all 4-byte numbers) of a binary column."""
-    offsets = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8) if len(values) else np.zeros(1, np.int64)
-    data = values.buffers()[2]
-    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return offsets - offsets[0], raw.view("<u4")
+ANSWER = "block long, n int, n_ids int, codes array<binary>, lengths array<binary>, ids array<binary>"
+
+
+def _answers(blocks: np.ndarray, codes: np.ndarray, at: np.ndarray, found: list[list[int]]) -> pa.RecordBatch:
+    """One row per block for the words of a batch: their codes (as differences), the numbers of their ids, the ids; `at` says which of `found` a word has."""
+    flat = np.fromiter((i for own in found for i in own), np.uint32)
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    begins = ends_of(lengths)[:-1]
+    order = np.lexsort((codes, blocks))
+    blocks, codes, at = blocks[order], codes[order], at[order]
+    cuts = np.append(np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])), len(blocks)).tolist() if len(blocks) else [0]
+    rows = []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        own = at[a:b]
+        ids = gathered(flat, begins, lengths, own)
+        rows.append((blocks[a], b - a, len(ids), packed(np.diff(codes[a:b], prepend=0)), packed(lengths[own]), packed(ids)))
+    binaries = pa.list_(pa.binary())
+    types = [pa.int64(), pa.int32(), pa.int32(), binaries, binaries, binaries]
+    columns = zip(*rows) if rows else [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["block", "n", "n_ids", "codes", "lengths", "ids"])
+
+
+def _joined(answers: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, length) of the ids of each of a block's `n` words, and all ids."""
+    begins, lengths = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    ids, held = [], 0
+    for row in answers.to_pylist():
+        codes = np.cumsum(unpacked(row["codes"], row["n"]).astype(np.int64))
+        own = unpacked(row["lengths"], row["n"]).astype(np.int64)
+        lengths[codes] = own
+        begins[codes] = held + ends_of(own)[:-1]
+        ids.append(unpacked(row["ids"], row["n_ids"]).astype(np.int32))
+        held += row["n_ids"]
+    if (lengths < 0).any():
+        raise RuntimeError("a block was computed again from rows in another order; store the documents first")
+    return begins, lengths, np.concatenate(ids) if ids else np.zeros(0, np.int32)
 
 
 def _arrow_type(docs: DataFrame, column: str) -> pa.DataType:
@@ -164,17 +205,20 @@ def decode(encoded: DataFrame, ranks: str, ids: str = "ids") -> DataFrame:
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(ranks)
         for batch in batches:
-            lists = batch.column(at)
-            tokens = table.take(lists.flatten())
-            if tokens.null_count:
-                raise ValueError("an id is not in the token-byte table")
-            ends = ends_of(lists.value_lengths().fill_null(0).to_numpy())
-            offsets = np.frombuffer(tokens.buffers()[1], np.int64, len(tokens) + 1, tokens.offset * 8) if len(tokens) else np.zeros(1, np.int64)
-            whole = pa.Array.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(offsets[ends]), tokens.buffers()[2] if len(tokens) else pa.py_buffer(b"")]
-            ).cast(pa.binary())
-            whole = pa.compute.if_else(lists.is_valid(), whole, pa.scalar(None, pa.binary()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, whole], [*names, "decoded"])
+            sizes = batch.column(at).value_lengths().fill_null(0).to_numpy()
+            for first, end in pieces(ends_of(sizes), TOKENS):
+                part = batch.slice(first, end - first)
+                lists = part.column(at)
+                tokens = table.take(lists.flatten())
+                if tokens.null_count:
+                    raise ValueError("an id is not in the token-byte table")
+                offsets = np.frombuffer(tokens.buffers()[1], np.int64, len(tokens) + 1) if len(tokens) else np.zeros(1, np.int64)
+                data = tokens.buffers()[2] if len(tokens) else pa.py_buffer(b"")
+                offsets = pa.py_buffer(offsets[ends_of(sizes[first:end])])
+                whole = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, offsets, data]).cast(pa.binary())
+                whole = pa.compute.if_else(lists.is_valid(), whole, pa.scalar(None, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns, whole], [*names, "decoded"])
+        give_back()
 
     chosen = encoded.select(*[F.col(f"`{c}`") for c in names])
     return chosen.mapInArrow(join, T.StructType([*chosen.schema.fields, T.StructField("decoded", T.BinaryType())]))
