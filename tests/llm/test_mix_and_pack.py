@@ -191,3 +191,19 @@ def test_pipeline_packs_what_its_stages_keep(spark):
         got[r.doc_id] += r.piece == 0
     assert got == expected
     check_packed(rows, 2048)
+
+
+def test_sizes_counted_before_give_the_same_mix(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = ["doc_id", "size", "source_size", "target", "copies", "taken"]
+    narrow = mixing.mix(mixing.sized(docs), size=F.col("size")).select(columns)
+    assert "text" not in narrow._jdf.queryExecution().executedPlan().toString()
+    assert sorted(narrow.collect()) == sorted(mixing.mix(docs).select(columns).collect())
+
+
+def test_sizes_of_nulls_and_an_empty_table(spark):
+    docs = spark.createDataFrame([(None, None, None), (1, "a b", "s"), (1, "a b", "s")], "doc_id long, text string, source string")
+    got = [tuple(r) for r in mixing.sized(docs).collect()]
+    assert sorted(got, key=str) == [(1, "s", 2), (1, "s", 2), (None, None, 0)]
+    empty = mixing.sized(docs.where("doc_id > 5"))
+    assert mixing.mix(empty, size=F.col("size")).count() == 0

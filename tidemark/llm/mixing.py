@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.rows import apart, together, words_of
+from tidemark.llm.rows import apart, settle, together, words_of
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -70,19 +70,30 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_cop
     )
 
 
+def n_words(text: Column) -> Column:
+    return F.size(words_of(text.cast("string"))).cast("long")
+
+
+def sized(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
+    """(id, source, size) of every document, stored: each text is read and counted once, and none is moved."""
+    return settle(docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")))
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
     source: str = "source",
     id_col: str = "doc_id",
     *,
+    size: Column | None = None,
     weights: tuple[int, ...] = WEIGHTS,
     max_copies: int = MAX_COPIES,
     seed: str = SEED,
 ) -> DataFrame:
     """Add size, source_size, target, copies and taken to every document.
 
-    size is the number of words (null and empty texts: 0), taken = copies * size. The
+    size is the number of words (null and empty texts: 0), taken = copies * size. Where the sizes are known, as in
+    `sized`, `size` gives them and no text is read. The rows are sorted and joined as they are: narrow ones cost little. The
     expected number of copies is target / source_size; only the small documents of a source
     share another one, which makes up for what its largest documents (fewer than LARGE) took too
     much or too little by rounding. Each document gets its number rounded down or up. Neighbours
@@ -91,7 +102,7 @@ def mix(
     may swap their copies. Input columns of the same names are replaced. An empty table gives an empty result.
     """
     columns = docs.columns
-    words = F.size(words_of(F.col(text).cast("string"))).cast("long")
+    words = n_words(F.col(text)) if size is None else size
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = apart(docs, source=F.col(source).cast("string"), key=key, size=words)
     rows = rows.withColumn("class", size_class(F.col("size"))).withColumn("h", _number(F.lit(seed), F.col("key")))

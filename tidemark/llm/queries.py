@@ -31,7 +31,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
+    sizes = mixing.sized(table(spark, sf_dir, "documents"))
+    return mixing.mix(sizes, size=F.col("size")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
 @query
