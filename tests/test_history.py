@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from tidemark.operators import history as h
-from tidemark.operators.lanes import running_total
+from tidemark.operators.lanes import cut_lanes, hot_keys, running_total
 
 START = datetime(2024, 1, 1)
 EVENTS = "customer_id string, segment_at_event string, event_ts timestamp_ntz"
@@ -42,12 +42,12 @@ def as_rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("lane", ["hour", "day", "month"])
-@pytest.mark.parametrize("seed, n, step", [(1, 400, 3), (2, 40, 1), (3, 600, 12), (4, 5, 24)])
-def test_history_equals_brute_force(spark, lane, seed, n, step):
+@pytest.mark.parametrize("lane_rows", [2, 20])
+@pytest.mark.parametrize("seed, n, step", [(1, 400, 3), (3, 600, 12), (4, 5, 24)])
+def test_history_equals_brute_force(spark, lane_rows, seed, n, step):
     rows = random_events(seed, n=n, step=step)
-    for hot_rows in (0, 30, h.HOT_ROWS):  # all customers in lanes, some, none
-        got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), lane=lane, hot_rows=hot_rows)
+    for hot_rows in (0, 30):  # all customers in lanes, some
+        got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), lane_rows=lane_rows, hot_rows=hot_rows)
         assert as_rows(got) == brute_history(rows)
 
 
@@ -55,7 +55,7 @@ def test_second_run_of_a_lane_closes_the_version_of_an_earlier_lane(spark):
     """Lane 2 opens with the segment carried over and changes twice inside."""
     d = [START + timedelta(hours=h) for h in (1, 25, 30, 35, 49, 73)]
     rows = [("c", s, t) for s, t in zip("AABAAC", d)]
-    got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), hot_rows=0, ordered=True).collect()
+    got = h.build_dim_customer(spark.createDataFrame(rows, EVENTS), hot_rows=0, lane_rows=2, ordered=True).collect()
     assert [(r.segment, r.valid_from, r.valid_to) for r in got] == [
         ("A", d[0], d[2]),
         ("B", d[2], d[3]),
@@ -126,8 +126,8 @@ def test_overlap_audit_counts_the_pairs_it_never_forms(spark, seed):
         and (a[3] or forever) > b[2]
     )
     frame = spark.createDataFrame(rows, VERSIONS)
-    for lane, hot_rows in (("hour", 0), ("day", 0), ("day", 40), ("day", h.HOT_ROWS)):
-        found = h.overlap_audit(frame, lane=lane, hot_rows=hot_rows).collect()
+    for lane_rows, hot_rows in ((2, 0), (20, 0), (20, 40), (20, h.HOT_ROWS)):
+        found = h.overlap_audit(frame, lane_rows=lane_rows, hot_rows=hot_rows).collect()
         assert sum(r.n_starting * r.n_open for r in found) == pairs > 0
     assert h.overlap_audit(frame, limit=1).count() == 1
 
@@ -148,8 +148,8 @@ def test_current_row_audit(spark):
     assert h.current_row_audit(frame, include_none=True, limit=1).count() == 1
 
 
-@pytest.mark.parametrize("lane, hot_rows", [("hour", 0), ("day", 0), ("month", 0), ("day", 100), ("day", h.HOT_ROWS)])
-def test_running_total(spark, lane, hot_rows):
+@pytest.mark.parametrize("lane_rows, hot_rows", [(2, 0), (9, 0), (10**6, 0), (9, 100), (9, h.HOT_ROWS)])
+def test_running_total(spark, lane_rows, hot_rows):
     from pyspark.sql import functions as F
 
     rng = random.Random(3)
@@ -159,7 +159,7 @@ def test_running_total(spark, lane, hot_rows):
     got = {
         (r.k, r.t): r.total
         for r in running_total(
-            frame, key="k", ts="t", value=F.col("v"), out="total", lane=lane, hot_rows=hot_rows
+            frame, key="k", ts="t", value=F.col("v"), out="total", lane_rows=lane_rows, hot_rows=hot_rows
         ).collect()
     }
     want = {(k, t): sum(v2 for k2, t2, v2 in rows if k2 == k and t2 <= t) for k, t, _ in rows}
@@ -167,9 +167,9 @@ def test_running_total(spark, lane, hot_rows):
 
 
 @pytest.mark.parametrize(
-    "lane, hot_rows, part_rows", [("day", 5_000_000, 9), ("day", 70, 9), ("day", 0, 3), ("hour", 70, 1), ("month", 0, 10)]
+    "lane_rows, hot_rows, part_rows", [(50, 5_000_000, 9), (50, 70, 9), (50, 0, 3), (2, 70, 1), (10**6, 0, 10)]
 )
-def test_point_in_time_equals_brute_force(spark, lane, hot_rows, part_rows):
+def test_point_in_time_equals_brute_force(spark, lane_rows, hot_rows, part_rows):
     rng = random.Random(9)
     versions = brute_history(random_events(21, n=60, customers=3, hours=24 * 10))
     asked = [
@@ -188,7 +188,7 @@ def test_point_in_time_equals_brute_force(spark, lane, hot_rows, part_rows):
     got = h.point_in_time(
         spark.createDataFrame(asked, "event_id int, customer_id string, event_ts timestamp_ntz"),
         spark.createDataFrame(versions, VERSIONS),
-        lane=lane,
+        lane_rows=lane_rows,
         hot_rows=hot_rows,
         part_rows=part_rows,
     )
@@ -261,8 +261,8 @@ def test_versions_without_time_count_first_whether_hot_or_not(spark, monkeypatch
     ]
     frame = spark.createDataFrame(rows, "customer_id string, segment string, valid_from timestamp_ntz")
     ways = [
-        sorted(map(tuple, h.number_versions(frame, hot_rows=hot, lane=lane).select("customer_id", "version", "valid_from", "segment").collect()), key=repr)
-        for hot, lane in ((10**9, "day"), (0, "day"), (0, "hour"), (300 * slots, "day"))
+        sorted(map(tuple, h.number_versions(frame, hot_rows=hot, lane_rows=lane).select("customer_id", "version", "valid_from", "segment").collect()), key=repr)
+        for hot, lane in ((10**9, 9), (0, 9), (0, 2), (300 * slots, 9))
     ]
     assert all(way == ways[0] for way in ways)
     plain = {c: sorted((r for r in rows if r[0] == c), key=lambda r: (r[2] is not None, r[2] or datetime.min, r[1])) for c in "abc"}
@@ -276,3 +276,127 @@ def test_fingerprint_tells_texts_with_its_own_marks_apart(spark):
     frames = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("\\N", "c"), ("n", "c"), ("1:a", ""), ("1", ":a"), ("", None), (None, "")]
     assert len({mark(r) for r in frames}) == len(frames)
     assert mark(frames[0], frames[1]) == mark(frames[1], frames[0])
+
+
+def pairs_of(rows):
+    forever = datetime(9999, 12, 31)
+    return sorted(
+        ((a[0], a[2], a[1], a[3], b[2], b[1]) for a in rows for b in rows if a[0] == b[0] and a[2] < b[2] < (a[3] or forever)), key=repr
+    )
+
+
+@pytest.mark.parametrize("seed, lane_starts, part_rows, hot_rows", [(1, 64, 10**6, 10**6), (2, 2, 3, 0), (3, 1, 1, 40), (4, 5, 2, 10**6)])
+def test_overlap_pairs_equal_brute_force(spark, seed, lane_starts, part_rows, hot_rows):
+    rows = random_versions(seed)
+    rows += rows[:5]  # versions that are there twice
+    frame = spark.createDataFrame(rows, VERSIONS)
+    got = h.overlap_pairs(frame, lane_starts=lane_starts, part_rows=part_rows, hot_rows=hot_rows, lane_rows=4)
+    assert as_rows(got) == pairs_of(rows)
+    counted = h.overlap_audit(frame, hot_rows=hot_rows, lane_rows=4).collect()
+    assert sum(r.n_starting * r.n_open for r in counted) == len(pairs_of(rows)) > 0
+
+
+def test_overlap_pairs_of_odd_versions(spark):
+    day = [START + timedelta(days=i) for i in range(6)]
+    rows = [(None, "A", day[0], None, True), ("c", "A", None, None, True), ("c", "B", day[3], day[1], False), ("c", None, day[0], None, True)]
+    rows += [("c", "A", day[2], day[2], False), ("d", "A", day[0], day[2], False), ("d", "A", day[2], None, True)]
+    frame = spark.createDataFrame(rows, VERSIONS)
+    got = {(r.customer_id, r.from_a, r.segment_a, r.from_b, r.segment_b) for r in h.overlap_pairs(frame).collect()}
+    assert got == {("c", day[0], None, day[2], "A"), ("c", day[0], None, day[3], "B")}
+    assert h.overlap_pairs(frame.limit(0)).isEmpty()
+
+
+def test_pairs_are_joined_by_customer_and_lane(spark):
+    text = h.overlap_pairs(spark.createDataFrame(random_versions(1), VERSIONS))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert all("customer_id" in line for line in text.splitlines() if "MergeJoin" in line or "HashJoin" in line)
+
+
+def test_a_version_goes_to_few_lanes_where_it_meets_few_starts(spark):
+    """Many versions in a row, one that is open all the time: rows of the join stay near the pairs."""
+    from pyspark.sql import functions as F
+
+    n = 2000
+    rows = [("c", "A", START + timedelta(minutes=i), START + timedelta(minutes=i + 1), False) for i in range(n)]
+    frame = spark.createDataFrame([*rows, ("c", "B", START - timedelta(days=1), None, True)], VERSIONS)
+    assert h.overlap_pairs(frame, lane_starts=50).count() == n
+    assert h.overlap_pairs(frame.where(F.col("segment") == "A"), lane_starts=50).isEmpty()
+
+
+@pytest.mark.parametrize("spread", ["one day", "one second", "years"])
+def test_no_lane_of_a_hot_key_holds_more_rows_than_allowed(spark, spread):
+    from pyspark.sql import functions as F
+
+    n, lane_rows = 3000, 40
+    step = {"one day": F.col("id") * F.col("id") % 86_399_000_000, "one second": F.col("id") * 300, "years": F.col("id") * 300_000_000_000}[spread]
+    rows = spark.range(n).select(F.lit("c").alias("k"), (F.lit(1_700_000_000_000_000) + step).alias("us"))
+    for kind in ("timestamp", "timestamp_ntz"):
+        typed = rows.select("k", F.timestamp_micros("us").cast(kind).alias("t")).distinct()
+        hot = hot_keys(typed, "k", "t", F.xxhash64("t"), hot_rows=1, lane_rows=lane_rows)
+        lanes = cut_lanes(typed, "k", "t", hot).groupBy("k", "_lane").agg(F.count("*").alias("n"), F.min("t").alias("a"), F.max("t").alias("b")).orderBy("_lane").collect()
+        assert max(r.n for r in lanes) <= lane_rows and len(lanes) <= 2 * n / lane_rows + 1
+        assert all(x.b < y.a for x, y in zip(lanes, lanes[1:]))
+
+
+def test_only_hot_keys_have_lanes(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([("a", START)] * 5 + [("b", START)] + [("a", None), (None, START)], "k string, t timestamp_ntz")
+    hot = hot_keys(rows, "k", "t", F.xxhash64("k", "t"), hot_rows=3, lane_rows=2)
+    assert [r.k for r in hot.collect()] == ["a"]
+    cut = cut_lanes(rows, "k", "t", hot)
+    assert {(r.k, r.t is None, r._lane is None) for r in cut.collect()} == {("a", False, False), ("b", False, True), ("a", True, True), (None, False, True)}
+    none = hot_keys(rows, "k", "t", F.xxhash64("k", "t"), hot_rows=99)
+    assert "Join" not in cut_lanes(rows, "k", "t", none)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def slices_of(got, want):
+    """The same by looking at every instant."""
+    out = []
+    for c in sorted({r[0] for r in got + want}):
+        sides = [sorted((r for r in side if r[0] == c), key=lambda r: (r[2], r[1])) for side in (got, want)]
+        times = sorted({t for side in sides for r in side for t in (r[2], r[3]) if t})
+
+        def at(side, t):
+            first = [r for i, r in enumerate(side) if i == 0 or side[i - 1][2] != r[2]]
+            held = [r for r in first if r[2] <= t]
+            return held[-1] if held and (held[-1][3] is None or held[-1][3] > t) else None
+
+        for t, nxt in zip(times, [*times[1:], None]):
+            g, w = at(sides[0], t), at(sides[1], t)
+            if g or w:
+                status = "missing" if not g else "extra" if not w else "match" if g[1] == w[1] else "wrong_segment"
+                out.append((c, t, nxt, g and g[1], w and w[1], status))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed, hot_rows, lane_rows", [(1, 10**6, 9), (2, 0, 4), (3, 20, 2)])
+def test_slices_equal_brute_force(spark, seed, hot_rows, lane_rows):
+    rng = random.Random(seed)
+    truth = brute_history(random_events(seed, n=80))
+    got = [(c, rng.choice("AB") if rng.random() < 0.1 else s, a, b, n) for c, s, a, b, n in truth if rng.random() < 0.8]
+    frames = spark.createDataFrame(got, VERSIONS), spark.createDataFrame(truth, VERSIONS)
+    found = h.reconcile_slices(*frames, hot_rows=hot_rows, lane_rows=lane_rows)
+    assert as_rows(found) == slices_of(got, truth)
+    # Without valid_to a version holds until the next.
+    assert as_rows(h.reconcile_slices(frames[0], frames[1].drop("valid_to"), hot_rows=hot_rows, lane_rows=lane_rows)) == slices_of(got, truth)
+
+
+def test_one_lost_version_is_one_wrong_slice(spark):
+    day = [START + timedelta(days=i) for i in range(5)]
+    truth = [("c", s, day[i], day[i + 1] if i < 3 else None, i == 3) for i, s in enumerate("ABAC")]
+    got = [truth[0], *truth[2:]]
+    found = h.reconcile_slices(spark.createDataFrame(got, VERSIONS), spark.createDataFrame(truth, VERSIONS)).orderBy("valid_from").collect()
+    assert [r.status for r in found] == ["match", "missing", "match", "match"]
+    assert (found[1].valid_from, found[1].valid_to, found[1].segment, found[1].true_segment) == (day[1], day[2], None, "B")
+
+
+def test_slices_of_odd_versions(spark):
+    day = [START + timedelta(days=i) for i in range(4)]
+    got = [(None, "A", day[0], None, True), ("c", "A", None, None, True), ("c", "B", day[2], day[1], False), ("c", None, day[0], None, True)]
+    want = [("c", None, day[0], day[1], False), ("d", "A", day[1], None, True)]
+    frames = spark.createDataFrame(got, VERSIONS), spark.createDataFrame(want, VERSIONS)
+    assert as_rows(h.reconcile_slices(*frames)) == sorted(
+        [("c", day[0], day[1], None, None, "match"), ("c", day[1], None, None, None, "extra"), ("d", day[1], None, None, "A", "missing")], key=repr
+    )
+    assert h.reconcile_slices(frames[0].limit(0), frames[1].limit(0)).isEmpty()

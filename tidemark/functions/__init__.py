@@ -22,17 +22,6 @@ def with_event_ts(events: DataFrame, ts: str = "ts", out: str = "event_ts") -> D
     return events.withColumn(out, F.col(ts))
 
 
-def lane_of(ts: Column, unit: str) -> Column:
-    """The slice of time a row falls into; never decreases as `ts` grows."""
-    if unit == "day":
-        return F.to_date(ts)
-    if unit == "hour":
-        return F.unix_date(F.to_date(ts)) * 24 + F.hour(ts)
-    if unit == "month":
-        return F.year(ts) * 12 + F.month(ts)
-    raise ValueError(f"lane must be day, hour or month, not {unit!r}")
-
-
 def month_of(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "MM")
 

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.lanes import HOT_ROWS, cut_lanes, hot_keys, running_total
+from tidemark.operators.lanes import HOT_ROWS, LANE_ROWS, carried, cut_lanes, hot_keys, running_total
+
+# Starts of a customer's versions that are joined together.
+LANE_STARTS = 64
 
 # Events without customer or time are spread over this many groups.
 IDLE_PARTS = 1024
@@ -14,14 +18,19 @@ HISTORY_COLUMNS = ["customer_id", "segment", "valid_from", "valid_to", "is_curre
 
 
 def hot_customers(
-    events: DataFrame, *, customer: str = "customer_id", ts: str = "event_ts", hot_rows: int = HOT_ROWS
+    events: DataFrame,
+    *,
+    customer: str = "customer_id",
+    ts: str = "event_ts",
+    hot_rows: int = HOT_ROWS,
+    lane_rows: int = LANE_ROWS,
 ) -> DataFrame:
-    """The customers with about `hot_rows` events or more, to pass as `hot` to the operators below.
+    """The customers with about `hot_rows` events or more and their lanes, to pass as `hot` to the operators below.
 
     A customer has no more versions than events, so those of a history need not be counted anew.
     """
     instants = events.select(F.col(customer).alias("customer_id"), F.col(ts).alias("valid_from"))
-    return hot_keys(instants, "customer_id", F.xxhash64("customer_id", "valid_from"), hot_rows)
+    return hot_keys(instants, "customer_id", "valid_from", F.xxhash64("customer_id", "valid_from"), hot_rows, lane_rows)
 
 
 def build_dim_customer(
@@ -30,8 +39,8 @@ def build_dim_customer(
     customer: str = "customer_id",
     segment: str = "segment_at_event",
     ts: str = "event_ts",
-    lane: str = "day",
     hot_rows: int = HOT_ROWS,
+    lane_rows: int = LANE_ROWS,
     hot: DataFrame | None = None,
     ordered: bool = False,
 ) -> DataFrame:
@@ -53,8 +62,8 @@ def build_dim_customer(
         F.col(ts).alias("valid_from"),
     ).na.drop()
     if hot is None:
-        hot = hot_customers(events, customer=customer, ts=ts, hot_rows=hot_rows)
-    points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot, lane).drop("_hot")
+        hot = hot_customers(events, customer=customer, ts=ts, hot_rows=hot_rows, lane_rows=lane_rows)
+    points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot).drop("_hot")
 
     in_lane = Window.partitionBy("customer_id", "_lane").orderBy("valid_from", "segment")
     one_per_instant = points.withColumn("_before", F.lag("valid_from").over(in_lane)).where(
@@ -91,7 +100,7 @@ def build_dim_customer(
 def number_versions(history: DataFrame, **hot: object) -> DataFrame:
     """Add `version`: 1, 2, ... per customer in order of valid_from.
 
-    `lane`, `hot_rows` and `hot`, here and in the other operators over a history, are those of
+    `hot_rows`, `lane_rows` and `hot`, here and in the other operators over a history, are those of
     `running_total`.
     """
     return running_total(
@@ -151,6 +160,76 @@ def overlap_audit(history: DataFrame, *, limit: int | None = None, **hot: object
     return found if limit is None else found.limit(limit)
 
 
+def overlap_pairs(
+    history: DataFrame, *, lane_starts: int = LANE_STARTS, part_rows: int = HOT_ROWS, **hot: object
+) -> DataFrame:
+    """The pairs of versions behind `overlap_audit`: an earlier version that is still open when a later one starts.
+
+    Returns customer_id, from_a, segment_a, to_a, from_b, segment_b, one row per pair with from_a < from_b. Versions alike in
+    all of that are pairs of their own; versions without customer or start are in none, and one that ends no later than it
+    starts is never the earlier of a pair.
+
+    The starts of a customer are numbered in order of time, so that the starts inside a version are a range of numbers. Each
+    lane holds `lane_starts` of them. An earlier version goes to the lanes of its range, a later one to the lane of its
+    start, and they are joined by customer and lane: a version that meets k starts comes
+    k / lane_starts + 2 times at most, and nearly all it meets in a lane is in the result. A lane in which more than `part_rows` versions
+    are open is split by their hash; its few starts are repeated in each part.
+    """
+    versions = (
+        history.where(F.col("customer_id").isNotNull() & F.col("valid_from").isNotNull())
+        .groupBy("customer_id", "segment", "valid_from", "valid_to")
+        .agg(F.count("*").alias("_copies"))
+    )
+    lasts = F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))
+
+    def turn(at: str, starting: int):
+        return F.struct(F.col(at).alias("at"), F.lit(starting).cast("bigint").alias("starting"))
+
+    both = F.array(turn("valid_from", 1), turn("valid_to", 0))
+    turns = (
+        versions.select("customer_id", F.inline(F.when(F.col("valid_to").isNotNull() & lasts, both).otherwise(F.slice(both, 1, 1))))
+        .groupBy("customer_id", "at")
+        .agg(F.max("starting").alias("starting"))
+    )
+    numbered = running_total(turns, key="customer_id", ts="at", value=F.col("starting"), out="_n", **hot)
+    # One row per instant: the number of starts up to it, and before it.
+    numbered = numbered.select(F.col("customer_id").alias("_c"), F.col("at").alias("_at"), "_n", (F.col("_n") - F.col("starting")).alias("_before"))
+    last = turns.groupBy(F.col("customer_id").alias("_of")).agg(F.sum("starting").alias("_all"))
+
+    def at(side: DataFrame, time: str, how: str = "inner") -> DataFrame:
+        return side.join(numbered, (F.col("customer_id") == F.col("_c")) & (F.col(time) == F.col("_at")), how).drop("_c", "_at")
+
+    placed = at(versions, "valid_from").withColumnRenamed("_n", "_rank").drop("_before")
+    later = placed.select(
+        "customer_id",
+        F.floor(F.col("_rank") / lane_starts).alias("_lane"),
+        F.col("_rank").alias("_b"),
+        F.col("valid_from").alias("from_b"),
+        F.col("segment").alias("segment_b"),
+        F.col("_copies").alias("_copies_b"),
+    )
+    ended = at(placed.where(F.col("valid_to").isNotNull() & lasts), "valid_to").withColumn("_until", F.col("_before")).drop("_n", "_before")
+    still = placed.where(F.col("valid_to").isNull()).join(last, F.col("customer_id") == F.col("_of")).withColumnRenamed("_all", "_until")
+    ranges = (
+        ended.unionByName(still.drop("_of"))
+        .where(F.col("_until") > F.col("_rank"))
+        .withColumn("_lane", F.explode(F.sequence(F.floor((F.col("_rank") + 1) / lane_starts), F.floor(F.col("_until") / lane_starts))))
+    )
+
+    # At most (ranges in lanes / part_rows) lanes are that full, which bounds the broadcast.
+    full = ranges.groupBy("customer_id", "_lane").agg(F.count("*").alias("_open")).where(F.col("_open") > part_rows)
+    full = F.broadcast(full.select("customer_id", "_lane", F.ceil(F.col("_open") / part_rows).cast("int").alias("_parts")))
+    n_parts = F.coalesce("_parts", F.lit(1))
+    spread = F.pmod(F.xxhash64("segment", "valid_from", "valid_to"), n_parts).cast("int")
+    ranges = ranges.join(full, ["customer_id", "_lane"], "left").withColumn("_part", spread).drop("_parts")
+    later = later.join(full, ["customer_id", "_lane"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n_parts - 1))).drop("_parts")
+
+    met = ranges.join(later, ["customer_id", "_lane", "_part"]).where((F.col("_b") > F.col("_rank")) & (F.col("_b") <= F.col("_until")))
+    pair = ["customer_id", F.col("valid_from").alias("from_a"), F.col("segment").alias("segment_a"), F.col("valid_to").alias("to_a"), "from_b", "segment_b"]
+    times = F.col("_copies") * F.col("_copies_b")
+    return met.select(*pair, F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("_")).drop("_")
+
+
 def inverted_ranges(history: DataFrame) -> DataFrame:
     """Versions that end before they start."""
     return history.where(F.col("valid_to") < F.col("valid_from"))
@@ -198,8 +277,8 @@ def point_in_time(
     customer: str = "customer_id",
     ts: str = "event_ts",
     spread_by: list[str] | None = None,
-    lane: str = "day",
     hot_rows: int = HOT_ROWS,
+    lane_rows: int = LANE_ROWS,
     part_rows: int = HOT_ROWS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
@@ -227,13 +306,18 @@ def point_in_time(
         F.xxhash64(*(spread_by or events.columns)).alias("_spread"),
         F.struct(*events.columns).alias("_event"),
     )
-    both_sides = asked.select("_key", "_spread").unionByName(versions.select("_key", "_spread"))
+    # Dates and times are compared as times, on both sides of a lane's bound.
+    if isinstance(asked.schema["_at"].dataType, T.DateType):
+        asked = asked.withColumn("_at", F.col("_at").cast(versions.schema["_at"].dataType))
+    elif isinstance(versions.schema["_at"].dataType, T.DateType):
+        versions = versions.withColumn("_at", F.col("_at").cast(asked.schema["_at"].dataType))
     if hot is None:
-        hot = hot_keys(both_sides, "_key", F.col("_spread"), hot_rows)
+        both_sides = asked.select("_key", "_at", "_spread").unionByName(versions.select("_key", "_at", "_spread"))
+        hot = hot_keys(both_sides, "_key", "_at", F.col("_spread"), hot_rows, lane_rows)
     else:
-        hot = hot.select(F.col("customer_id").alias("_key"), "_hot")
-    asked = cut_lanes(asked, "_key", "_at", hot, lane).drop("_hot")
-    versions = cut_lanes(versions.drop("_spread"), "_key", "_at", hot, lane).drop("_hot")
+        hot = F.broadcast(hot.withColumnRenamed("customer_id", "_key"))
+    asked = cut_lanes(asked, "_key", "_at", hot).drop("_hot")
+    versions = cut_lanes(versions.drop("_spread"), "_key", "_at", hot).drop("_hot")
 
     # Of hot customers: one row per lane that holds events or version starts. Per
     # customer that is at most the number of lanes in the calendar.
@@ -310,3 +394,53 @@ def reconcile_history(history: DataFrame, truth: DataFrame, **hot: object) -> Da
         .otherwise("wrong_segment")
     )
     return got.join(want, ["customer_id", "version"], "full_outer").withColumn("status", status)
+
+
+def reconcile_slices(history: DataFrame, truth: DataFrame, **hot: object) -> DataFrame:
+    """Compare a rebuilt history with the true one along time: a lost version makes its own slice wrong and no other.
+
+    Both sides have customer_id, segment, valid_from. A version holds until its `valid_to`, or, where that is null or there is no such
+    column, until the customer's next version on that side. Returns customer_id, valid_from, valid_to (null: still open), segment,
+    true_segment and status (match, wrong_segment, missing: only in truth, extra: only in the history), one row per stretch of time
+    between two changes on either side; stretches in which neither has a version are left out. A null segment equals a null one.
+
+    Of several versions that start together on a side the smallest segment counts. Versions without customer or start are
+    ignored, and so are those that end no later than they start.
+
+    The changes of both sides are merged per customer and instant, and one window carries both states along; the sides are never paired.
+    """
+
+    def changes(side: DataFrame, name: str) -> DataFrame:
+        ends = F.col("valid_to") if "valid_to" in side.columns else F.lit(None).cast(side.schema["valid_from"].dataType)
+        rows = side.select("customer_id", "segment", "valid_from", ends.alias("valid_to"))
+        rows = rows.where(F.col("customer_id").isNotNull() & F.col("valid_from").isNotNull())
+        rows = rows.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
+
+        def change(at: str, there: bool, segment):
+            return F.struct(F.col(at).alias("at"), F.struct(F.lit(not there).alias("gone"), segment.alias("segment")).alias(name))
+
+        start = change("valid_from", True, F.col("segment"))
+        end = change("valid_to", False, F.lit(None).cast(side.schema["segment"].dataType))
+        turns = F.when(F.col("valid_to").isNotNull(), F.array(start, end)).otherwise(F.array(start))
+        # A version that starts at an instant wins over one that ends at it.
+        return rows.select("customer_id", F.inline(turns)).groupBy("customer_id", "at").agg(F.min(name).alias(name))
+
+    got, want = changes(history, "_got"), changes(truth, "_want")
+    merged = (
+        got.unionByName(want, allowMissingColumns=True)
+        .groupBy("customer_id", "at")
+        .agg(F.max("_got").alias("_got"), F.max("_want").alias("_want"))
+    )
+    states = carried(merged, key="customer_id", ts="at", states=("_got", "_want"), next_ts="valid_to", **hot)
+    has, ought = (F.coalesce(~F.col(c)["gone"], F.lit(False)) for c in ("_got", "_want"))
+    status = (
+        F.when(~has, "missing").when(~ought, "extra").when(F.col("_got.segment").eqNullSafe(F.col("_want.segment")), "match").otherwise("wrong_segment")
+    )
+    return states.where(has | ought).select(
+        "customer_id",
+        F.col("at").alias("valid_from"),
+        "valid_to",
+        F.col("_got.segment").alias("segment"),
+        F.col("_want.segment").alias("true_segment"),
+        status.alias("status"),
+    )

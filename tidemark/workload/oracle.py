@@ -224,6 +224,11 @@ ORACLE = {
   FROM broken late JOIN broken early USING (customer_id)
   WHERE early.valid_from < late.valid_from AND (early.valid_to IS NULL OR early.valid_to > late.valid_from)
   GROUP BY 1, 2""",
+    "scd2_overlap_pairs": f"""WITH {BROKEN}
+  SELECT early.customer_id, early.valid_from AS from_a, early.segment AS segment_a, early.valid_to AS to_a,
+         late.valid_from AS from_b, late.segment AS segment_b
+  FROM broken late JOIN broken early USING (customer_id)
+  WHERE early.valid_from < late.valid_from AND (early.valid_to IS NULL OR early.valid_to > late.valid_from)""",
     "scd2_overlap_clean": f"""WITH {DIM}
   SELECT count(*) AS n_overlaps FROM dim late JOIN dim early USING (customer_id)
   WHERE early.valid_from < late.valid_from AND (early.valid_to IS NULL OR early.valid_to > late.valid_from)""",
@@ -267,6 +272,16 @@ ORACLE = {
          CASE WHEN segment IS NULL THEN 'missing' WHEN true_segment IS NULL THEN 'extra'
               WHEN segment = true_segment THEN 'match' ELSE 'wrong_segment' END AS status
   FROM gv FULL OUTER JOIN wv USING (customer_id, version)""",
+    "scd2_truth_along_time": f"""WITH {DIM},
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY valid_from) AS version FROM dim),
+  got AS (
+    SELECT customer_id, CASE WHEN month(valid_from) = 4 THEN '9-VIP' ELSE segment END AS segment, valid_from, valid_to
+    FROM numbered WHERE version <> 2
+  )
+  SELECT d.customer_id, d.valid_from, d.valid_to, g.segment, d.segment AS true_segment,
+         CASE WHEN g.customer_id IS NULL THEN 'missing' WHEN g.segment = d.segment THEN 'match'
+              ELSE 'wrong_segment' END AS status
+  FROM dim d LEFT JOIN got g ON g.customer_id = d.customer_id AND g.valid_from = d.valid_from""",
     # ---- facts
     "fact_engagement_daily": """
   SELECT user_id AS customer_id, CAST(ts AS DATE) AS event_date, event_type, count(*) AS n_events,

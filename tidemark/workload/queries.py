@@ -25,8 +25,12 @@ def _hot(spark, sf):
     return history.hot_customers(i.order_history_events(spark, sf))
 
 
+def _dim(spark, sf, hot):
+    return history.build_dim_customer(i.order_history_events(spark, sf), hot=hot)
+
+
 def scd2_dim_customer(spark, sf):
-    return history.build_dim_customer(i.order_history_events(spark, sf), hot=_hot(spark, sf))
+    return _dim(spark, sf, _hot(spark, sf))
 
 
 def cohort_retention(spark, sf):
@@ -38,11 +42,19 @@ def cohort_summary(spark, sf):
 
 
 def scd2_overlap_audit(spark, sf):
-    return history.overlap_audit(i.broken_history(scd2_dim_customer(spark, sf)), hot=_hot(spark, sf))
+    hot = _hot(spark, sf)
+    return history.overlap_audit(i.broken_history(_dim(spark, sf, hot)), hot=hot)
+
+
+def scd2_overlap_pairs(spark, sf):
+    """The rows behind `scd2_overlap_audit`: n_starting * n_open of them per start."""
+    hot = _hot(spark, sf)
+    return history.overlap_pairs(i.broken_history(_dim(spark, sf, hot)), hot=hot)
 
 
 def scd2_overlap_clean(spark, sf):
-    found = history.overlap_audit(scd2_dim_customer(spark, sf), hot=_hot(spark, sf))
+    hot = _hot(spark, sf)
+    found = history.overlap_audit(_dim(spark, sf, hot), hot=hot)
     return found.agg(F.count("*").alias("n_overlaps"))
 
 
@@ -55,28 +67,29 @@ def scd2_fingerprint(spark, sf):
 
 
 def scd2_version_numbers(spark, sf):
-    return history.number_versions(scd2_dim_customer(spark, sf), hot=_hot(spark, sf)).select(
-        "customer_id", "valid_from", "version"
-    )
+    hot = _hot(spark, sf)
+    return history.number_versions(_dim(spark, sf, hot), hot=hot).select("customer_id", "valid_from", "version")
 
 
 def version_numbers_null_time(spark, sf):
     """Versions that began in a February lost their time: they count before all others."""
-    dim = scd2_dim_customer(spark, sf).select(
+    hot = _hot(spark, sf)
+    dim = _dim(spark, sf, hot).select(
         "customer_id", "segment", F.when(F.month("valid_from") != 2, F.col("valid_from")).alias("valid_from")
     )
-    return history.number_versions(dim, hot=_hot(spark, sf)).select("customer_id", "valid_from", "segment", "version")
+    return history.number_versions(dim, hot=hot).select("customer_id", "valid_from", "segment", "version")
 
 
-def _filled(spark, sf):
+def _filled(spark, sf, hot):
     """History of filled orders only: late for some customers, absent for others."""
     filled = i.order_history_events(spark, sf).where(F.col("event_type") == "F")
-    return history.build_dim_customer(filled, hot=_hot(spark, sf))
+    return history.build_dim_customer(filled, hot=hot)
 
 
 def scd2_point_in_time(spark, sf):
     orders = i.order_history_events(spark, sf).select("event_id", "customer_id", "event_ts")
-    return history.point_in_time(orders, _filled(spark, sf), spread_by=["event_id"], hot=_hot(spark, sf))
+    hot = _hot(spark, sf)
+    return history.point_in_time(orders, _filled(spark, sf, hot), spread_by=["event_id"], hot=hot)
 
 
 def scd2_truth_reconcile(spark, sf):
@@ -88,6 +101,15 @@ def scd2_truth_reconcile(spark, sf):
     return history.reconcile_history(rebuilt, truth, hot=hot)
 
 
+def scd2_truth_along_time(spark, sf):
+    """The history without each customer's second version and with a wrong segment from April on, against itself."""
+    hot = _hot(spark, sf)
+    truth = _dim(spark, sf, hot)
+    lost = history.number_versions(truth, hot=hot).where(F.col("version") != 2)
+    segment = F.when(F.month("valid_from") == 4, "9-VIP").otherwise(F.col("segment"))
+    return history.reconcile_slices(lost.withColumn("segment", segment), truth, hot=hot)
+
+
 # ---- facts -----------------------------------------------------------------
 
 
@@ -102,8 +124,9 @@ def dim_offer(spark, sf):
 def fact_by_segment(spark, sf):
     """The daily fact joined to the customer version valid on the day, per segment and type."""
     fact = facts.build_fact_engagement_daily(i.order_history_events(spark, sf))
+    hot = _hot(spark, sf)
     return (
-        history.point_in_time(fact, _filled(spark, sf), ts="event_date", hot=_hot(spark, sf))
+        history.point_in_time(fact, _filled(spark, sf, hot), ts="event_date", hot=hot)
         .groupBy("segment", "event_type")
         .agg(F.sum("n_events").alias("n_events"), F.sum("total_amount_cents").alias("total_amount_cents"))
     )
@@ -185,7 +208,8 @@ def _promoted(spark, sf):
 
 
 def gold_dim_customer(spark, sf):
-    return history.build_dim_customer(_promoted(spark, sf))
+    # No customer has more promoted events than orders, but for those of known defects.
+    return history.build_dim_customer(_promoted(spark, sf), hot=_hot(spark, sf))
 
 
 def gold_fact_engagement_daily(spark, sf):
@@ -389,12 +413,14 @@ QUERIES = {
         cohort_summary,
         scd2_overlap_audit,
         scd2_overlap_clean,
+        scd2_overlap_pairs,
         scd2_multi_current,
         scd2_fingerprint,
         scd2_version_numbers,
         version_numbers_null_time,
         scd2_point_in_time,
         scd2_truth_reconcile,
+        scd2_truth_along_time,
         fact_engagement_daily,
         dim_offer,
         fact_by_segment,
