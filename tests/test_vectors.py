@@ -25,13 +25,13 @@ def distance(a, b, metric):
 
 @pytest.mark.parametrize("metric", v.METRICS)
 @pytest.mark.parametrize("on", [["doc"], None])
-@pytest.mark.parametrize("query_rows, vector_rows", [(256, 4096), (3, 7)])
-def test_knn_equals_brute_force(spark, metric, on, query_rows, vector_rows):
+@pytest.mark.parametrize("query_rows, vector_rows, cells", [(256, 4096, None), (3, 7, 1), (3, 7, 9)])
+def test_knn_equals_brute_force(spark, metric, on, query_rows, vector_rows, cells):
     rows, frame = table(spark, 120, seed=1)
     asked, queries = table(spark, 15, seed=2)
     queries = queries.withColumnRenamed("id", "query_id").repartition(2)
     got = v.knn(
-        queries, frame.repartition(3), k=4, metric=metric, on=on, query_rows=query_rows, vector_rows=vector_rows
+        queries, frame.repartition(3), k=4, metric=metric, on=on, query_rows=query_rows, vector_rows=vector_rows, cells=cells
     )
     found = {}
     for r in got.orderBy("query_id", "rank").collect():
@@ -85,3 +85,50 @@ def test_upsert_keeps_the_newest_row_of_an_id(spark):
     got = v.latest_vectors(frame).orderBy("id").collect()
     assert [(r.id, r.embedding, r.doc) for r in got] == [(1, [2.0], "new"), (2, [3.0], "only")]
     assert v.latest_vectors(frame).columns == frame.columns
+
+
+def clusters(spark, n, seed, dims=8, centres=12):
+    """Vectors in tight clusters, some zero, some shorter, some there many times."""
+    rng = random.Random(seed)
+    means = [[rng.gauss(0, 10) for _ in range(dims)] for _ in range(centres)]
+    rows = [(i, [m + rng.gauss(0, 0.1) for m in means[i % centres]]) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "id bigint, embedding array<float>")
+
+
+@pytest.mark.parametrize("metric", v.METRICS)
+def test_fewer_blocks_meet_where_vectors_lie_in_clusters(spark, metric):
+    _, frame = clusters(spark, 1200, seed=7)
+    keys, rows = ["_dim"], 10
+    vectors = v._usable(frame, "id", "embedding", [])
+    pivots = v._pivots(vectors, "id", "embedding", 40, metric)
+    asked = v._balls(vectors.where("id < 100"), "id", "embedding", keys, 5, "q", pivots, metric)
+    blocks = v._balls(vectors.coalesce(2), "id", "embedding", keys, rows, "v", pivots, metric)
+    met = v.near_pairs(asked, blocks, keys, pivots, 3, metric, 2).select("q_block", "v_ids").count()
+    assert 0 < met < asked.count() * blocks.count() / 4
+    got, plain = (
+        v.knn(frame.where("id < 100").withColumnRenamed("id", "query_id"), frame, k=3, metric=metric, vector_rows=rows, cells=c).collect()
+        for c in (40, 1)
+    )
+    assert sorted(got) == sorted(plain)
+
+
+def test_cells_with_zero_short_and_equal_vectors(spark):
+    rows, _ = clusters(spark, 100, seed=3)
+    rows += [(1000 + i, [0.0] * 8) for i in range(5)] + [(2000 + i, [float(i), 1.0]) for i in range(20)] + [(3000 + i, [1.0] * 8) for i in range(40)]
+    rows += [(4000, [2.0, 2.0, 2.0])]
+    frame = spark.createDataFrame(rows, "id bigint, embedding array<float>")
+    queries = frame.where("id % 9 = 0 or id >= 4000 or id = 1002").withColumnRenamed("id", "query_id")
+    for metric in v.METRICS:
+        got, plain = (v.knn(queries, frame, k=4, metric=metric, vector_rows=6, query_rows=4, cells=c).collect() for c in (7, 1))
+        assert sorted(got) == sorted(plain)
+        # A dimension without a pivot.
+        few = v.knn(queries.where("query_id >= 4000"), frame, k=4, metric=metric, cells=2).collect()
+        assert [(r.query_id, r.id) for r in few] == [(4000, 4000)]
+
+
+def test_no_vectors_and_no_queries(spark):
+    _, frame = clusters(spark, 30, seed=1)
+    queries = frame.withColumnRenamed("id", "query_id")
+    assert v.knn(queries, frame.limit(0), cells=4).isEmpty()
+    assert v.knn(queries.limit(0), frame, cells=4).isEmpty()
+    assert v.knn(queries, frame.limit(0)).isEmpty()

@@ -4,6 +4,10 @@ Vectors and queries are packed into blocks inside their own partitions, and bloc
 are joined on the filter columns. One joined row stands for a whole block of
 distances, which numpy computes at once; only the k best per query leave it, so no
 query-vector pair ever becomes a row and only k rows per query and block shuffle.
+
+Beyond a few blocks, vectors and queries are dealt to cells around pivots first, and a block is a ball
+of one cell. A first pass over the blocks of a query's own cell bounds its k-th distance;
+by the triangle inequality only balls that come nearer than that are joined in the second.
 """
 
 from __future__ import annotations
@@ -21,6 +25,10 @@ from pyspark.sql import types as T
 from tidemark.operators.lanes import latest_per_key
 
 METRICS = ("l2", "cosine")
+# Cells at most: their pivots and the distances between them are broadcast (256 vectors, 65,536 numbers).
+MAX_CELLS = 256
+# The cell of vectors that have no place among the pivots: all of them are searched.
+ANYWHERE = -1
 
 # Executors get these helpers inside the task, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -106,6 +114,7 @@ def knn(
     embedding: str = "embedding",
     query_rows: int = 256,
     vector_rows: int = 4096,
+    cells: int | None = None,
 ) -> DataFrame:
     """(query_id, id, rank, distance): the k nearest vectors of every query.
 
@@ -117,6 +126,10 @@ def knn(
 
     Vector blocks are dealt to as many buckets as there are shuffle partitions, and each query
     block goes to every bucket once: a filter value with many vectors, or none at all, is spread evenly.
+
+    `cells` is the number of cells, by default one for each `vector_rows` vectors, up to MAX_CELLS; with fewer than
+    two every query block meets every vector block of its filter values. It changes no result. The more the vectors lie in
+    clusters, the fewer blocks meet.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
@@ -149,13 +162,18 @@ def knn(
             ]
         )
 
-    query_blocks = _blocks(queries, query_id, embedding, keys, query_rows, "q")
-    vector_blocks = _blocks(vectors, id, embedding, keys, vector_rows, "v")
-    vector_blocks = vector_blocks.withColumn("_bucket", F.pmod(F.xxhash64("v_ids"), F.lit(buckets)).cast("int"))
-    query_blocks = query_blocks.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    candidates = vector_blocks.join(query_blocks, [*keys, "_bucket"]).select(
-        F.inline(best_of("q_ids", "q_data", "v_ids", "v_data"))
-    )
+    if cells is None:
+        cells = min(MAX_CELLS, vectors.count() // vector_rows)
+    if cells < 2:
+        query_blocks = _blocks(queries, query_id, embedding, keys, query_rows, "q")
+        vector_blocks = _blocks(vectors, id, embedding, keys, vector_rows, "v")
+        pairs = _dealt(vector_blocks, buckets).join(_to_all(query_blocks, buckets), [*keys, "_bucket"])
+    else:
+        pivots = _pivots(vectors, id, embedding, cells, metric)
+        query_blocks = _balls(queries, query_id, embedding, keys, query_rows, "q", pivots, metric)
+        vector_blocks = _balls(vectors, id, embedding, keys, vector_rows, "v", pivots, metric)
+        pairs = near_pairs(query_blocks, vector_blocks, keys, pivots, k, metric, buckets)
+    candidates = pairs.select(F.inline(best_of("q_ids", "q_data", "v_ids", "v_data")))
     nearest = Window.partitionBy("query_id").orderBy("distance", "id")
     return (
         candidates.withColumn("rank", F.row_number().over(nearest))
@@ -164,6 +182,125 @@ def knn(
     )
 
 
+def _dealt(blocks: DataFrame, buckets: int) -> DataFrame:
+    return blocks.withColumn("_bucket", F.pmod(F.xxhash64("v_ids"), F.lit(buckets)).cast("int"))
+
+
+def _to_all(blocks: DataFrame, buckets: int) -> DataFrame:
+    return blocks.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+
+
+def _points(data: np.ndarray, metric: str) -> np.ndarray:
+    """Where the vectors lie for the triangle inequality: cosine is half the squared distance of unit vectors."""
+    points = data.astype(np.float64)
+    if metric == "cosine":
+        norms = np.linalg.norm(points, axis=1)[:, None]
+        points = np.divide(points, norms, out=np.zeros_like(points), where=norms > 0)
+    return points
+
+
+def _pivots(vectors: DataFrame, id: str, embedding: str, cells: int, metric: str) -> dict[int, np.ndarray]:
+    """Pivots by number of dimensions: at most `cells` vectors in all, those whose ids have the smallest hashes."""
+    chosen = vectors.orderBy(F.xxhash64(id), id).select(embedding).limit(min(cells, MAX_CELLS)).collect()
+    by_dim: dict[int, list] = {}
+    for (vector,) in chosen:
+        by_dim.setdefault(len(vector), []).append(vector)
+    return {dim: np.unique(_points(np.array(some, np.float32), metric), axis=0) for dim, some in by_dim.items()}
+
+
+def _balls(
+    df: DataFrame, id: str, embedding: str, on: list[str], rows: int, prefix: str, pivots: dict[int, np.ndarray], metric: str
+) -> DataFrame:
+    """`_blocks` of one cell each, with the `<prefix>_cell` of the nearest pivot and the `<prefix>_radius` around it."""
+    schema = T.StructType(
+        [df.schema[c] for c in on]
+        + [
+            T.StructField(f"{prefix}_cell", T.IntegerType()),
+            T.StructField(f"{prefix}_radius", T.DoubleType()),
+            T.StructField(f"{prefix}_ids", T.ArrayType(df.schema[id].dataType)),
+            T.StructField(f"{prefix}_data", T.BinaryType()),
+        ]
+    )
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for key, group in batch.groupby(on, sort=False):
+                data = np.stack(group[embedding].to_numpy()).astype(np.float32)
+                ids = group[id].to_numpy()
+                points = _points(data, metric)
+                near = pivots.get(data.shape[1])
+                if near is None:
+                    cell, far = np.full(len(ids), ANYWHERE), np.full(len(ids), np.inf)
+                else:
+                    square = np.square(points).sum(1)[:, None] + np.square(near).sum(1)[None, :] - 2 * points @ near.T
+                    cell = square.argmin(1)
+                    far = np.linalg.norm(points - near[cell], axis=1)
+                    if metric == "cosine":
+                        lost = ~points.any(axis=1)
+                        cell[lost], far[lost] = ANYWHERE, np.inf
+                # The farthest last, so that the first blocks of a cell are small balls.
+                order = np.lexsort((far, cell))
+                cuts = np.flatnonzero(np.diff(cell[order])) + 1
+                for part in np.split(order, cuts):
+                    for start in range(0, len(part), rows):
+                        own = part[start : start + rows]
+                        out.append((*key, int(cell[own[0]]), float(far[own].max()), ids[own].tolist(), data[own].tobytes()))
+            yield pd.DataFrame(out, columns=schema.names)
+
+    return df.select(*on, id, embedding).mapInPandas(pack, schema)
+
+
+def near_pairs(
+    query_blocks: DataFrame, vector_blocks: DataFrame, keys: list[str], pivots: dict[int, np.ndarray], k: int, metric: str, buckets: int
+) -> DataFrame:
+    """The pairs of blocks that can hold one of the k nearest of a query, from `_balls` of both sides."""
+
+    @F.pandas_udf("double")
+    def bound_of(q_ids: pd.Series, q_data: pd.Series, v_ids: pd.Series, v_data: pd.Series) -> pd.Series:
+        """No query of the block has its k-th nearest farther than this, as seen from one vector block."""
+        out = []
+        for qi, qd, vi, vd in zip(q_ids, q_data, v_ids, v_data):
+            if len(vi) < k:
+                out.append(np.inf)
+                continue
+            q, v = (_points(np.frombuffer(d, np.float32).reshape(len(i), -1), metric) for d, i in ((qd, qi), (vd, vi)))
+            square = np.square(q).sum(1)[:, None] + np.square(v).sum(1)[None, :] - 2 * q @ v.T
+            out.append(float(np.sqrt(max(np.partition(square, k - 1, axis=1)[:, k - 1].max(), 0.0))))
+        return pd.Series(out)
+
+    dealt = _dealt(vector_blocks, buckets)
+    asked = query_blocks.withColumn("q_block", F.xxhash64("q_ids", "q_data"))
+    own = _to_all(asked, buckets).join(dealt.withColumnRenamed("v_cell", "q_cell"), [*keys, "q_cell", "_bucket"])
+    bounds = own.select("q_block", bound_of("q_ids", "q_data", "v_ids", "v_data").alias("bound"))
+    bounds = bounds.groupBy(F.col("q_block").alias("of")).agg(F.min("bound").alias("bound"))
+
+    # How far apart the pivots are: one row per pair of cells of equal dimension.
+    rows = [
+        (dim, i, j, float(d))
+        for dim, near in pivots.items()
+        for i, from_i in enumerate(np.linalg.norm(near[:, None] - near[None, :], axis=2))
+        for j, d in enumerate(from_i)
+    ]
+    # Queries without a place look everywhere, and all look among the vectors without one.
+    rows += [(dim, i, ANYWHERE, 0.0) for dim, near in pivots.items() for i in range(len(near))]
+    rows += [(dim, ANYWHERE, j, 0.0) for dim, near in pivots.items() for j in [*range(len(near)), ANYWHERE]]
+    ways = query_blocks.sparkSession.createDataFrame(rows, "_dim int, q_cell int, v_cell int, apart double")
+    reach = asked.join(bounds, F.col("q_block") == F.col("of"), "left").withColumn("reach", F.coalesce("bound", F.lit(float("inf"))) + F.col("q_radius"))
+    # Dimensions without any pivot have one cell, ANYWHERE, on both sides.
+    to = F.coalesce("v_cell", F.lit(ANYWHERE))
+    reach = reach.join(F.broadcast(ways), ["_dim", "q_cell"], "left").withColumn("v_cell", to).fillna(0.0, ["apart"])
+    slack = 1e-7 * (F.col("apart") + F.when(F.col("reach") < float("inf"), F.col("reach")).otherwise(0.0) + 1.0)
+
+    def touches(radius):
+        return F.col("apart") <= F.col("reach") + radius + slack
+
+    # Cells first, by their widest ball, so that query blocks go only where one block at least is near enough.
+    widest = vector_blocks.groupBy(*keys, "v_cell").agg(F.max("v_radius").alias("widest"))
+    going = reach.join(widest, [*keys, "v_cell"]).where(touches(F.col("widest"))).drop("widest")
+    return _to_all(going, buckets).join(dealt, [*keys, "v_cell", "_bucket"]).where(touches(F.col("v_radius")))
+
+
 def with_metadata(found: DataFrame, vectors: DataFrame, *, id: str = "id", embedding: str = "embedding") -> DataFrame:
     """Add the metadata columns of the vectors to `knn` output."""
     return found.join(vectors.drop(embedding).withColumnRenamed(id, "id"), "id")
