@@ -13,7 +13,7 @@ from tidemark.operators import gates, history, ledger, quality
 from tidemark.plans.monthly import Warehouse, clean_batch, run_monthly
 from tidemark.schemas import EVENT, GOLD, VALID_SEGMENTS, SchemaDrift
 from tidemark.sources import tables
-from tidemark.sources.bronze import land_bronze, list_batches, read_bronze, read_json_events
+from tidemark.sources.bronze import batch_files, land_bronze, list_batches, read_bronze, read_json_events
 
 CUSTOMERS = 30
 TYPES = ("login", "card_txn", "offer_shown", "offer_redeemed")
@@ -245,7 +245,7 @@ def test_views_and_catalog(spark, run, months, tmp_path):
     assert spark.table("gold_test.dim_customer").count() == result["gold_rows_written"]
     assert spark.table("gold_test.fact_engagement_daily").columns == GOLD["fact_engagement_daily"].names
     assert len(names) == 3
-    tables.open_view(spark, tables.gold_path(run.warehouse.gold, "dim_customer"), "dim_customer")
+    tables.open_view(spark, tables.gold_path(spark, run.warehouse.gold, "dim_customer"), "dim_customer")
     assert spark.sql("SELECT segment, count(*) FILTER (WHERE is_current) FROM dim_customer GROUP BY segment").count() == 5
     for name in names:
         spark.sql(f"DROP TABLE {name}")
@@ -254,7 +254,7 @@ def test_views_and_catalog(spark, run, months, tmp_path):
 
 def test_gold_files_are_sorted_across_files(spark, run, months):
     run(months)
-    path = tables.gold_path(run.warehouse.gold, "fact_engagement_daily")
+    path = tables.gold_path(spark, run.warehouse.gold, "fact_engagement_daily")
     stats = (
         spark.read.parquet(path)
         .groupBy(F.col("_metadata.file_name"))
@@ -265,6 +265,73 @@ def test_gold_files_are_sorted_across_files(spark, run, months):
     assert all(a.hi <= b.lo for a, b in zip(stats, stats[1:]))
 
 
+def files_of(path):
+    return {f: f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+def test_a_second_run_without_new_files_writes_no_silver(spark, run, months):
+    known = jobs.customers_from(spark, str(CUSTOMERS))
+    run(months)
+    before = files_of(run.warehouse.silver)
+    again = run_monthly(spark, run.warehouse, known)
+    assert files_of(run.warehouse.silver) == before and len(before) > 0
+    assert again["promoted"] == ["month=00", "month=01", "month=02"] and again["gold_rows_written"] > 0
+
+    # One month changes: only its rows are written, the others stay where they are.
+    state = {r.batch: r.run for r in tables.silver_state(spark, run.warehouse.silver).collect()}
+    folder = Path(run.warehouse.root) / "again"
+    write_months(folder, {1: months[1][:-1]})
+    land_bronze(spark, str(folder), run.warehouse.bronze)
+    run_monthly(spark, run.warehouse, known)
+    now = {r.batch: r.run for r in tables.silver_state(spark, run.warehouse.silver).collect()}
+    assert [b for b in now if now[b] != state[b]] == ["month=01"]
+    new = set(files_of(run.warehouse.silver)) - set(before)
+    assert new and all("batch=month%3D01" in str(f) for f in new)
+    silver = tables.read_silver(spark, run.warehouse.silver)
+    assert {r.batch: r.n_rows for r in list_batches(silver).collect()} == {"month=00": 120, "month=01": 119, "month=02": 120}
+
+
+def test_a_batch_that_fails_now_vanishes_and_comes_back(spark, run, months):
+    run(months)
+    run_monthly(spark, run.warehouse, jobs.customers_from(spark, "20"))  # fewer known customers: no month passes
+    assert tables.read_silver(spark, run.warehouse.silver).isEmpty()
+    run_monthly(spark, run.warehouse, jobs.customers_from(spark, str(CUSTOMERS)))
+    assert tables.read_silver(spark, run.warehouse.silver).count() == 360
+
+
+def test_a_write_that_fails_leaves_the_old_table(spark, run, months):
+    run(months)
+    silver, gold, name = run.warehouse.silver, run.warehouse.gold, "dim_offer"
+    broken = F.when(F.rand() >= 0, F.raise_error(F.lit("lost"))).otherwise("x")
+    rows = tables.read_silver(spark, silver)
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_silver(rows.withColumn("event_id", broken), silver, [("month=00", 1, 1, None)], ["month=01"])
+    assert tables.read_silver(spark, silver).count() == 360
+
+    offer = tables.read_gold(spark, gold, name)
+    old = sorted(offer.collect())
+    with pytest.raises(Exception, match="lost"):
+        tables.write_gold(offer.withColumn("offer_id", broken), gold, name)
+    assert sorted(tables.read_gold(spark, gold, name).collect()) == old != []
+    # A table may be replaced from itself.
+    assert tables.write_gold(tables.read_gold(spark, gold, name).limit(1), gold, name) == 1
+    assert tables.write_gold(offer.limit(0), gold, name) == 0
+    assert tables.read_gold(spark, gold, name).count() == 0
+    # Only what was replaced is removed.
+    before = {n: sorted(tables.read_gold(spark, gold, n).collect()) for n in GOLD}
+    assert len(tables.remove_old_runs(spark, silver, gold, keep=1)) == 2
+    assert {n: sorted(tables.read_gold(spark, gold, n).collect()) for n in GOLD} == before
+    assert tables.read_silver(spark, silver).count() == 360
+    assert tables.remove_old_runs(spark, silver, gold, keep=1) == []
+
+
+def test_files_of_batches_with_odd_names(spark, tmp_path):
+    rows = spark.range(3).select(F.element_at(F.array(*map(F.lit, ["a b+c", "x=1/2", "2024-01"])), (F.col("id") + 1).cast("int")).alias("batch"), "id")
+    rows.write.partitionBy("batch").parquet(str(tmp_path / "t"))
+    assert sorted(r.batch for r in batch_files(spark, str(tmp_path / "t")).collect()) == ["2024-01", "a b+c", "x=1/2"]
+    assert batch_files(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_jobs(spark, months, tmp_path, capsys):
     write_months(tmp_path / "in", months)
     root = ["--warehouse", str(tmp_path / "wh")]

@@ -16,7 +16,7 @@ from tidemark.operators.ledger import DEFAULT_SLA_SECONDS, check_run_sla, record
 from tidemark.operators.silver import CLEAN, silver_stats, zone_rows
 from tidemark.schemas import GOLD, LEDGER, OFFER_EVENT_TYPES, VALID_SEGMENTS, empty_table
 from tidemark.sources import tables
-from tidemark.sources.bronze import landed_batches, read_bronze, stored_bytes
+from tidemark.sources.bronze import batch_files, landed_batches, read_bronze, stored_bytes
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,8 @@ def write_gold_tables(
 def clean_batch(spark: SparkSession, warehouse: Warehouse, batch: str) -> dict:
     """Clean one batch into silver, leaving the others alone; return its counts."""
     bronze = read_bronze(spark, warehouse.bronze).where(F.col("batch") == batch)
-    tables.write_silver_batch(zone_rows(bronze), warehouse.silver, batch)
+    listed = batch_files(spark, warehouse.bronze).where(F.col("batch") == batch).collect()
+    tables.replace_silver(zone_rows(bronze), warehouse.silver, listed or [(batch, None, None, None)])
     written = tables.read_silver(spark, warehouse.silver).where(F.col("batch") == batch)
     stats = silver_stats(written).first()
     return stats.asDict() if stats else {"batch": batch, "bronze_rows": 0, "silver_rows": 0, "rejects": 0}
@@ -82,7 +83,9 @@ def run_monthly(
     """Gate every bronze batch, promote the good ones, rebuild silver and gold from them.
 
     All batches go through each step together. The scorecard and silver are written
-    tables that the next step reads, so a lost executor never re-runs an earlier step.
+    tables that the next step reads, so a lost executor never re-runs an earlier step. Only
+    batches whose bronze files changed are cleaned again; silver and gold switch to what a run
+    wrote when it is complete.
     When no batch is promoted gold stays as it was, or is emptied with
     `on_none_promoted="empty"`.
     """
@@ -106,7 +109,7 @@ def run_monthly(
         warehouse.ops,
         "gate_alerts",
     )
-    tables.write_silver(zone_rows(gates.promoted_rows(bronze, scorecard)), warehouse.silver)
+    _update_silver(spark, warehouse, bronze, scorecard)
 
     # One row per batch from here on: reports for the caller.
     verdicts = {
@@ -149,6 +152,17 @@ def run_monthly(
     }
 
 
+def _update_silver(spark: SparkSession, warehouse: Warehouse, bronze: DataFrame, scorecard: DataFrame) -> None:
+    """Write the promoted batches whose files changed since they were written, drop those that fail now."""
+    promoted = scorecard.groupBy("batch").agg(F.bool_and("passed").alias("good")).where("good").select("batch")
+    state = tables.silver_state(spark, warehouse.silver)
+    due, gone = tables.silver_changes(batch_files(spark, warehouse.bronze), promoted, state)
+    # A row per batch.
+    due = [tuple(r) for r in due.select("batch", *tables.LISTED).collect()]
+    rows = zone_rows(bronze.where(F.col("batch").isin([batch for batch, *_ in due])))
+    tables.replace_silver(rows, warehouse.silver, due, [r.batch for r in gone.collect()])
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -67,6 +67,31 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
         return 0
 
 
+FILES = T.StructType(
+    [
+        T.StructField("batch", T.StringType()),
+        T.StructField("n_files", T.LongType()),
+        T.StructField("n_bytes", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+    ]
+)
+
+
+def batch_files(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """(batch, n_files, n_bytes, modified) of every batch in the bronze table, from the listing of its files; no file is opened."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(bronze_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_table(spark, FILES)
+    name = F.regexp_extract("path", r"/batch=([^/]*)/[^/]*$", 1)
+    batch = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return files.groupBy(batch.alias("batch")).agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.max("modificationTime").alias("modified")
+    )
+
+
 def batch_of(path: str) -> Column:
     """The batch of a landed file: its name, or that of the directory of part files, without suffix."""
     return F.regexp_extract(path, r"([^/]*?)\.jsonl?(?:/[^/]*)?$", 1)

@@ -274,7 +274,7 @@ def stored_silver(spark, sf):
 
 def stored_gold_fact(spark, sf):
     """The fact as the run stored it, through a view over its files, in the declared order."""
-    path = tables.gold_path(_stored_run(spark, sf).gold, "fact_engagement_daily")
+    path = tables.gold_path(spark, _stored_run(spark, sf).gold, "fact_engagement_daily")
     tables.open_view(spark, path, "stored_fact", GOLD["fact_engagement_daily"])
     return spark.sql(
         """SELECT CAST(customer_id AS BIGINT) AS customer_id, event_date, event_type, n_events, total_amount_cents
