@@ -16,7 +16,7 @@ from tidemark.operators.ledger import DEFAULT_SLA_SECONDS, check_run_sla, record
 from tidemark.operators.silver import CLEAN, silver_stats, zone_rows
 from tidemark.schemas import GOLD, LEDGER, OFFER_EVENT_TYPES, VALID_SEGMENTS, empty_table
 from tidemark.sources import tables
-from tidemark.sources.bronze import batch_files, landed_batches, read_bronze, stored_bytes
+from tidemark.sources.bronze import batch_files, landed_batches, read_bronze
 
 
 @dataclass(frozen=True)
@@ -109,9 +109,7 @@ def run_monthly(
         warehouse.ops,
         "gate_alerts",
     )
-    _update_silver(spark, warehouse, bronze, scorecard)
-
-    # One row per batch from here on: reports for the caller.
+    # One row per batch from here on: reports for the caller, and what of silver has to change.
     verdicts = {
         r.batch: list(r.failed)
         for r in scorecard.groupBy("batch")
@@ -124,6 +122,11 @@ def run_monthly(
         .toLocalIterator()
     }
     promoted = [b for b, failed in verdicts.items() if not failed]
+    listing = batch_files(spark, warehouse.bronze).collect()
+    due, gone = tables.silver_changes(listing, promoted, tables.silver_state(spark, warehouse.silver).collect())
+    # Only the folders of these batches are read; a batch that is promoted goes to silver whole.
+    tables.replace_silver(zone_rows(bronze.where(F.col("batch").isin([b for b, *_ in due]))), warehouse.silver, due, gone)
+
     silver = tables.read_silver(spark, warehouse.silver) if promoted else None
     stats = {r.batch: r.asDict() for r in silver_stats(silver).toLocalIterator()} if promoted else {}
 
@@ -148,21 +151,10 @@ def run_monthly(
         "fact_engagement_daily_rows_written": written["fact_engagement_daily"],
         "dim_offer_rows_written": written["dim_offer"],
         "sla": (sla := _judge_run(spark, warehouse, run_id, sla_seconds)),
-        "cost": _record_cost(spark, warehouse, sla),
+        "cost": _record_cost(spark, warehouse, sla, sum(r.n_bytes for r in listing)),
     }
 
 
-def _update_silver(spark: SparkSession, warehouse: Warehouse, bronze: DataFrame, scorecard: DataFrame) -> None:
-    """Write the promoted batches whose files changed since they were written, drop those that fail now."""
-    promoted = scorecard.groupBy("batch").agg(F.bool_and("passed").alias("good")).where("good").select("batch")
-    state = tables.silver_state(spark, warehouse.silver)
-    due, gone = tables.silver_changes(batch_files(spark, warehouse.bronze), promoted, state)
-    # A row per batch.
-    due = [tuple(r) for r in due.select("batch", *tables.LISTED).collect()]
-    rows = zone_rows(bronze.where(F.col("batch").isin([batch for batch, *_ in due])))
-    tables.replace_silver(rows, warehouse.silver, due, [r.batch for r in gone.collect()])
-
-
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -173,10 +165,9 @@ def _mark_started(spark: SparkSession, warehouse: Warehouse, run_id: str) -> Non
     tables.append_ledger(row, warehouse.ops, "run_starts")
 
 
-def _record_cost(spark: SparkSession, warehouse: Warehouse, sla: dict) -> dict:
+def _record_cost(spark: SparkSession, warehouse: Warehouse, sla: dict, n_bytes: int) -> dict:
     """Append what the run read to the cost ledger; return it."""
     now = datetime.now(timezone.utc)
-    n_bytes = stored_bytes(spark, warehouse.bronze)
     run = [("monthly", now.date().isoformat(), n_bytes, float(sla["elapsed_seconds"]), now)]
     schema = "pipeline_id string, run_date string, bytes_processed long, duration_seconds double, recorded_at timestamp"
     cost = record_runs(spark.createDataFrame(run, schema))

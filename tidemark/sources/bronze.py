@@ -56,17 +56,6 @@ def land_bronze(spark: SparkSession, source_dir: str, bronze_path: str) -> DataF
     return read_bronze(spark, bronze_path)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of all files under a path, from their listing; 0 if there is none."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return files.agg(F.sum("length")).first()[0] or 0
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-
-
 FILES = T.StructType(
     [
         T.StructField("batch", T.StringType()),

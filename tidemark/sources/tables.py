@@ -31,7 +31,6 @@ SILVER = T.StructType(
 
 
 # One row per switch of a batch: the run folder that holds it now, and what it was built from.
-LISTED = ("n_files", "n_bytes", "modified")
 SILVER_STATE = T.StructType(
     [
         T.StructField("batch", T.StringType()),
@@ -68,15 +67,17 @@ def silver_state(spark: SparkSession, path: str) -> DataFrame:
     return latest_per_key(switches, ["batch"], [F.col("switched_at")]).where("live").select(*SILVER_STATE.names)
 
 
-def silver_changes(listing: DataFrame, promoted: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+def silver_changes(listing: list, promoted: list[str], state: list) -> tuple[list[tuple], list[str]]:
     """(batches to write with their listing, batches to drop): promoted batches whose files are others than silver was built from, and
     batches of silver that are promoted no more.
 
-    `listing` is of `bronze.batch_files`, `promoted` has one row (batch) per promoted batch. A batch without a listing is always written.
+    `listing` are the rows of `bronze.batch_files`, `state` those of `silver_state`: a row per batch, no data. A batch without a
+    listing is always written.
     """
-    seen = state.select("batch", *LISTED)
-    listed = promoted.select("batch").join(listing, "batch", "left")
-    return listed.join(seen, ["batch", *LISTED], "left_anti"), state.select("batch").join(promoted, "batch", "left_anti")
+    listed = {r.batch: (r.batch, r.n_files, r.n_bytes, r.modified) for r in listing}
+    built = {r.batch: (r.batch, r.n_files, r.n_bytes, r.modified) for r in state}
+    due = [listed.get(b, (b, None, None, None)) for b in promoted if b not in listed or listed[b] != built.get(b)]
+    return due, sorted(set(built) - set(promoted))
 
 
 def replace_silver(rows: DataFrame | None, path: str, written: list, dropped: list[str] = ()) -> None:
