@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import oracle
 import pytest
 
@@ -22,6 +23,20 @@ def test_query_equals_its_sql(spark, duck, name):
     assert oracle.differences(QUERIES[name](spark, SMALL), duck, ORACLE[name]) == []
 
 
+def test_quality_sql_on_long_lines(spark, tmp_path):
+    """One phrase in a long line does not fail it, in the query and in its SQL; one in a short line does."""
+    words = " ".join(f"word{i} some{i} other{i} text{i}" for i in range(30))
+    lines = [f"{words} see our privacy policy in {words.upper()}", "see our privacy policy here", f"{words}\nsee our privacy policy here\n", "a | b | c | d " + words, words + " . . . !!!a !!!b !!!c"]
+    rows = [(i, line) for i, line in enumerate(lines)] + [(10 + i, f"{line}\n" * 3) for i, line in enumerate(lines)] + [(99, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = QUERIES["op10_quality_rules"](spark, str(tmp_path))
+    assert oracle.differences(got, con, ORACLE["op10_quality_rules"]) == []
+    kept = {r.doc_id: r.kept for r in got.collect()}
+    assert kept[0] and not kept[11]
+
+
 def plan(spark, name):
     return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 

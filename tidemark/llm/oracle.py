@@ -7,6 +7,7 @@ model (4), licences (8; tests hold them against plain Python), and so the pipeli
 from __future__ import annotations
 
 from tidemark.llm import mixing, quality, secrets
+from tidemark.llm.rows import SPACE_RUN
 
 
 def _text(value: str) -> str:
@@ -15,6 +16,13 @@ def _text(value: str) -> str:
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 
+
+def _often(pattern: str) -> str:
+    """Whether the line x matches once in so many words or more often."""
+    words = f"(len(regexp_extract_all(x, {_text(SPACE_RUN)})) + 1)"
+    return f"(regexp_matches(x, {_text(pattern)}) AND len(regexp_extract_all(x, {_text(pattern)})) * {quality.WORDS_PER_MATCH} >= {words})"
+
+
 OP10 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
@@ -37,8 +45,7 @@ m AS (
     length(array_to_string(ls, '')) AS all_chars,
     length(array_to_string(list_filter(list_distinct(ls), lambda x: NOT (
       (length(x) - length(regexp_replace(x, {_text(quality.SYMBOLS)}, '', 'g'))) * 8 > length(x)
-      OR regexp_matches(x, {_text(quality.BAD_PUNCTUATION)}) OR regexp_matches(x, {_text(quality.NAVIGATION)})
-      OR regexp_matches(x, {_text(quality.BOILERPLATE)}))), '')) AS passing
+      OR {_often(quality.BAD_PUNCTUATION)} OR {_often(quality.NAVIGATION)} OR {_often(quality.BOILERPLATE)})), '')) AS passing
   FROM w LEFT JOIN rep USING (doc_id)
 ),
 f AS (
