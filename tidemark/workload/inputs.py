@@ -203,6 +203,12 @@ def day_runs(spark: SparkSession, sf_dir: str, event_type: str, time: str) -> Da
     )
 
 
+def run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An alert ledger that already holds every run (user and day) with an error."""
+    runs = day_runs(spark, sf_dir, "error", "seen_at").select("run_id").distinct()
+    return runs.select(F.concat("run_id", F.lit("#sla")).alias("alert_id"))
+
+
 def value_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quality check per event: its value against 20, lower being better for two types."""
     kind = F.col("event_type")

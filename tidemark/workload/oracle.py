@@ -202,6 +202,40 @@ judged AS (
   FROM checks
 )"""
 
+# Runs of a user and day with their time, and whether a day with an error was alerted before.
+ALERTED_RUNS = """
+starts AS (SELECT user_id || '@' || CAST(ts AS DATE) AS run_id, max(ts) AS s FROM events WHERE event_type = 'signup' GROUP BY 1),
+ends AS (SELECT user_id || '@' || CAST(ts AS DATE) AS run_id, max(ts) AS e FROM events WHERE event_type = 'purchase' GROUP BY 1),
+told AS (SELECT DISTINCT user_id || '@' || CAST(ts AS DATE) AS run_id FROM events WHERE event_type = 'error'),
+timed AS (
+  SELECT run_id, CAST(floor(epoch(e)) - floor(epoch(s)) AS BIGINT) AS elapsed_seconds, run_id IN (SELECT run_id FROM told) AS told
+  FROM ends LEFT JOIN starts USING (run_id)
+)"""
+
+# The gold tables with customers as text, as a run stores them.
+STORED_DIM = (
+    PROMOTED
+    + ","
+    + scd2("promoted")
+    + """,
+stored AS (SELECT CAST(customer_id AS VARCHAR) AS customer_id, segment, valid_from, is_current FROM dim)"""
+)
+
+STORED_FACT = (
+    PROMOTED
+    + """,
+fact AS (
+  SELECT CAST(customer_id AS VARCHAR) AS customer_id, CAST(ts AS DATE) AS event_date, event_type, count(*) AS n_events,
+         CAST(sum(coalesce(amount_cents, 0)) AS BIGINT) AS total_amount_cents
+  FROM promoted GROUP BY 1, 2, 3
+),
+offer AS (
+  SELECT event_type, CAST(sum(n_events) AS BIGINT) AS n_events, count(DISTINCT customer_id) AS n_distinct_customers,
+         'offer_' || event_type AS offer_id
+  FROM fact WHERE event_type IN ('O', 'F') GROUP BY event_type
+)"""
+)
+
 COHORTS = """
 cohorts AS (
   SELECT segment, CAST(sum(CASE WHEN is_current THEN 1 ELSE 0 END) AS BIGINT) AS n_now,
@@ -286,6 +320,11 @@ ORACLE = {
     "fact_engagement_daily": """
   SELECT user_id AS customer_id, CAST(ts AS DATE) AS event_date, event_type, count(*) AS n_events,
          CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_amount_cents
+  FROM events GROUP BY 1, 2, 3""",
+    "fact_null_amounts": """
+  SELECT user_id AS customer_id, CAST(ts AS DATE) AS event_date, event_type, count(*) AS n_events,
+         CAST(sum(CASE WHEN event_type IN ('error', 'view') THEN 0 ELSE CAST(round(value * 100) AS BIGINT) END) AS BIGINT)
+           AS total_amount_cents
   FROM events GROUP BY 1, 2, 3""",
     "dim_offer": """
   SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_distinct_customers,
@@ -321,6 +360,29 @@ ORACLE = {
               ELSE 'null/missing: {''line'': not readable in '
                    || count(*) FILTER (WHERE month(o_orderdate) IN (5, 6) AND o_orderstatus = 'P') || '}' END AS detail
   FROM orders GROUP BY batch""",
+    "gate_absent_column": f"""WITH {BASE}
+  SELECT batch, 1 AS seq, 'required_fields' AS gate, false AS passed,
+         'null/missing: {{' || CASE WHEN count(*) FILTER (WHERE event_type = 'P') > 0
+           THEN '''event_type'': ' || count(*) FILTER (WHERE event_type = 'P') || ', ' ELSE '' END
+         || '''segment_at_event'': ''column absent''}}' AS detail
+  FROM base GROUP BY batch""",
+    "gate_future_events": f"""WITH {BASE},
+  late AS (SELECT batch, count(*) FILTER (WHERE ts > TIMESTAMP '1996-01-01') AS n FROM base GROUP BY batch)
+  SELECT batch, 4 AS seq, 'range_outliers' AS gate, n = 0 AS passed,
+         CASE WHEN n = 0 THEN '' ELSE n || ' events with a future timestamp' END AS detail
+  FROM late""",
+    "gate_drift_given_prior": f"""WITH {LOADED}, {SHARES},
+  given AS (
+    SELECT d.segment, count(l.segment_at_event) / CAST((SELECT count(*) FROM loaded) AS DOUBLE) AS given_share
+    FROM domain d LEFT JOIN loaded l ON l.segment_at_event = d.segment GROUP BY d.segment
+  ),
+  judged AS (
+    SELECT batch, segment, share, CASE WHEN prior_batch IS NULL THEN given_share ELSE prior_share END AS prior_share
+    FROM shares JOIN given USING (segment)
+  )
+  SELECT batch, segment, round(share, 6) AS share, round(prior_share, 6) AS prior_share,
+         round(abs(share - prior_share), 6) AS drift, NOT abs(share - prior_share) > 0.30 AS passed
+  FROM judged""",
     "failed_gates": f"WITH {SCORECARD} SELECT batch, seq, gate, detail FROM scorecard WHERE NOT passed",
     "gate_alerts": f"""WITH {SCORECARD}
   SELECT batch, 'Quality gate blocked promotion of ' || batch || ': '
@@ -338,6 +400,32 @@ ORACLE = {
   FROM promoted GROUP BY 1, 2, 3""",
     "stored_silver": f"""WITH {PROMOTED}
   SELECT batch, count(*) AS n_clean, CAST(0 AS BIGINT) AS n_rejects FROM promoted GROUP BY batch""",
+    "registered_gold": f"""WITH {STORED_FACT}, {scd2("promoted")}
+  SELECT 'dim_customer' AS name, count(*) AS n_rows, 5 AS n_columns FROM dim
+  UNION ALL SELECT 'fact_engagement_daily', count(*), 5 FROM fact
+  UNION ALL SELECT 'dim_offer', count(*), 4 FROM offer""",
+    "cleaned_batches": f"""WITH {LOADED},
+  yearly AS (SELECT * EXCLUDE (batch), substr(batch, 1, 4) AS batch FROM loaded),
+  kept AS (SELECT DISTINCT * FROM yearly),
+  sides AS (
+    SELECT batch, count(*) FILTER (WHERE event_type IS NOT NULL) AS silver_rows,
+           count(*) FILTER (WHERE event_type IS NULL) AS rejects
+    FROM kept GROUP BY batch
+  ),
+  sizes AS (SELECT batch, count(*) AS bronze_rows FROM yearly GROUP BY batch)
+  SELECT batch, bronze_rows, silver_rows, rejects, bronze_rows - silver_rows - rejects AS duplicates,
+         bronze_rows = silver_rows + rejects AS reconciled
+  FROM sizes JOIN sides USING (batch)""",
+    "dim_customer_in_order": f"""WITH {STORED_DIM}
+  SELECT customer_id, valid_from, segment, row_number() OVER (ORDER BY customer_id, valid_from) AS row_no FROM stored""",
+    "fact_in_order": f"""WITH {STORED_FACT}
+  SELECT *, row_number() OVER (ORDER BY customer_id, event_date, event_type) AS row_no FROM fact""",
+    "dim_offer_in_order": f"WITH {STORED_FACT} SELECT *, row_number() OVER (ORDER BY event_type) AS row_no FROM offer",
+    "retention_in_order": f"""WITH {STORED_DIM}, {COHORTS}
+  SELECT segment, n_now AS customers_currently_in_segment, n_ever AS customers_ever_in_segment,
+         round(100 * CAST(n_now AS DOUBLE) / n_ever, 1) AS retention_pct,
+         row_number() OVER (ORDER BY n_now DESC, segment) AS row_no
+  FROM cohorts""",
     "landed_batches": """
   SELECT strftime(o_orderdate, '%Y-%m') AS batch, count(*) AS n_rows,
          CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS amount_cents
@@ -426,6 +514,14 @@ ORACLE = {
          CASE WHEN elapsed_seconds > 3600 THEN true END AS alert_sent,
          CASE WHEN elapsed_seconds IS NULL THEN 'no start time recorded' END AS reason
   FROM timed""",
+    "sla_run_alerted": f"""WITH {ALERTED_RUNS}
+  SELECT run_id, elapsed_seconds, coalesce(elapsed_seconds > 3600, false) AS breached,
+         CASE WHEN elapsed_seconds > 3600 THEN NOT told END AS alert_sent,
+         CASE WHEN elapsed_seconds IS NULL THEN 'no start time recorded' END AS reason
+  FROM timed""",
+    "sla_run_messages": f"""WITH {ALERTED_RUNS}
+  SELECT run_id || '#sla' AS alert_id, 'SLA breach: run ' || run_id || ' took ' || elapsed_seconds || 's (limit 3600s)' AS message
+  FROM timed WHERE elapsed_seconds > 3600 AND NOT told""",
     "ledger_latest": """
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events

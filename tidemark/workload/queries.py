@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import with_event_ts
 from tidemark.operators import facts, gates, history, ledger, quality, silver, vectors
 from tidemark.operators.lanes import latest_per_key
-from tidemark.schemas import CORRUPT, EVENT, GOLD
-from tidemark.plans.monthly import Warehouse, run_monthly
+from tidemark.operators.order import numbered
+from tidemark.schemas import CORRUPT, EVENT, GOLD, assert_contract
+from tidemark.plans.monthly import Warehouse, clean_batch, run_monthly
 from tidemark.sources import tables
 from tidemark.sources.bronze import RAW, land_bronze, list_batches, write_bronze
 from tidemark.workload import inputs as i
@@ -16,6 +17,9 @@ from tidemark.workload import inputs as i
 # The customers' segments in `orders`.
 DOMAIN = {"segments": i.PRIORITIES}
 
+# Ranges of the numbered outputs are this small so that the supplied tables fill several.
+RANGE_ROWS = 2000
+
 
 # ---- history ---------------------------------------------------------------
 
@@ -117,6 +121,12 @@ def fact_engagement_daily(spark, sf):
     return facts.build_fact_engagement_daily(i.daily_events(spark, sf))
 
 
+def fact_null_amounts(spark, sf):
+    """Errors and views carry no amount: they count as events and add nothing."""
+    amount = F.when(~F.col("event_type").isin("error", "view"), F.col("amount_cents"))
+    return facts.build_fact_engagement_daily(i.daily_events(spark, sf).withColumn("amount_cents", amount))
+
+
 def dim_offer(spark, sf):
     return facts.build_dim_offer(fact_engagement_daily(spark, sf), offer_types=("view", "purchase"))
 
@@ -191,6 +201,31 @@ def gate_freshness(spark, sf):
     return gates.gate_scorecard(arrived, i.known_customers(spark, sf), manifest, gates=("freshness",), **DOMAIN)
 
 
+def gate_absent_column(spark, sf):
+    """Orders that came without a segment column, the pending ones without type."""
+    kind = F.when(F.col("event_type") != "P", F.col("event_type"))
+    events = i.order_events(spark, sf).drop("segment_at_event").withColumn("event_type", kind)
+    return gates.gate_scorecard(events, i.known_customers(spark, sf), gates=("required_fields",), **DOMAIN)
+
+
+def gate_future_events(spark, sf):
+    """The orders judged as on New Year 1996: what came later lies in the future."""
+    as_of = F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
+    return gates.gate_scorecard(
+        i.order_events(spark, sf), i.known_customers(spark, sf), gates=("range_outliers",), as_of=as_of, **DOMAIN
+    )
+
+
+def gate_drift_given_prior(spark, sf):
+    """As `gate_cardinality_drift`; the first batch is compared with the counts of all batches."""
+    events = i.loaded_events(spark, sf)
+    prior = events.groupBy("segment_at_event").agg(F.count("*").alias("n"))
+    judged = gates.batch_facts(events, i.known_customers(spark, sf), prior_counts=prior, **DOMAIN)
+    drift = gates.drift_table(judged, **DOMAIN)
+    shares = [F.round(c, 6).alias(c) for c in ("share", "prior_share", "drift")]
+    return drift.select("batch", "segment", *shares, "passed")
+
+
 def failed_gates(spark, sf):
     return gates.failed_gates(_scorecard(spark, sf))
 
@@ -290,6 +325,54 @@ def stored_gold_fact(spark, sf):
     )
 
 
+def registered_gold(spark, sf):
+    """Rows and columns of the gold tables of the run, by their names in the catalog, held against their contracts."""
+    warehouse = _stored_run(spark, sf)
+    database = "gold_" + warehouse.root.rsplit("/", 1)[-1].replace("-", "")
+    counted = []
+    for name, table in zip(GOLD, tables.register_gold(spark, warehouse.gold, database)):
+        rows = assert_contract(spark.table(table), GOLD[name], name)
+        counted.append(rows.agg(F.lit(name).alias("name"), F.count("*").alias("n_rows"), F.lit(len(rows.columns)).alias("n_columns")))
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+def cleaned_batches(spark, sf):
+    """The defective orders in batches of a year, each cleaned into silver by itself."""
+    warehouse = Warehouse(i.scratch(spark))
+    yearly = i.bronze_events(spark, sf).withColumn("batch", F.substr("batch", F.lit(1), F.lit(4)))
+    write_bronze(yearly, warehouse.bronze)
+    batches = [r.batch for r in list_batches(yearly).orderBy("batch").collect()]  # one row per batch
+    stats = [clean_batch(spark, warehouse, batch) for batch in batches]
+    kinds = "batch string, bronze_rows bigint, silver_rows bigint, rejects bigint, duplicates bigint, reconciled boolean"
+    return spark.createDataFrame([tuple(s[c.split()[0]] for c in kinds.split(", ")) for s in stats], kinds)
+
+
+def _gold(spark, sf, name):
+    return tables.read_gold(spark, _stored_run(spark, sf).gold, name)
+
+
+def dim_customer_in_order(spark, sf):
+    """The stored history, numbered by customer and time; customer ids are text here."""
+    dim = _gold(spark, sf, "dim_customer").select("customer_id", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), "segment")
+    return numbered(dim, ["customer_id", "valid_from"], range_rows=RANGE_ROWS)
+
+
+def fact_in_order(spark, sf):
+    fact = _gold(spark, sf, "fact_engagement_daily")
+    return numbered(fact, ["customer_id", "event_date", "event_type"], range_rows=RANGE_ROWS)
+
+
+def dim_offer_in_order(spark, sf):
+    return numbered(_gold(spark, sf, "dim_offer"), ["event_type"])
+
+
+def retention_in_order(spark, sf):
+    """Segments by customers now in them, most first."""
+    cohorts = facts.cohort_retention(_gold(spark, sf, "dim_customer"))
+    now = "customers_currently_in_segment"
+    return numbered(cohorts, [now, "segment"], descending=(now,))
+
+
 def stored_quality_report(spark, sf):
     path = i.scratch(spark)
     tables.write_quality_report(quality.evaluate(i.value_checks(spark, sf)), path, "workload")
@@ -360,6 +443,19 @@ def sla_run_elapsed(spark, sf):
     return ledger.check_run_sla(starts, ends, i.click_alerts(spark, sf), sla_seconds=3600).checks
 
 
+def sla_run_alerted(spark, sf):
+    """As `sla_run_elapsed`; runs of days with an error were alerted before."""
+    starts = i.day_runs(spark, sf, "signup", "started_at")
+    ends = i.day_runs(spark, sf, "purchase", "ended_at")
+    return ledger.check_run_sla(starts, ends, i.run_alerts(spark, sf), sla_seconds=3600).checks
+
+
+def sla_run_messages(spark, sf):
+    starts = i.day_runs(spark, sf, "signup", "started_at")
+    ends = i.day_runs(spark, sf, "purchase", "ended_at")
+    return ledger.check_run_sla(starts, ends, i.run_alerts(spark, sf), sla_seconds=3600).new_alerts
+
+
 def ledger_latest(spark, sf):
     return latest_per_key(i.table(spark, sf, "events"), ["user_id"], [F.col("ts")])
 
@@ -430,6 +526,7 @@ QUERIES = {
         scd2_truth_reconcile,
         scd2_truth_along_time,
         fact_engagement_daily,
+        fact_null_amounts,
         dim_offer,
         fact_by_segment,
         batch_discovery,
@@ -437,6 +534,9 @@ QUERIES = {
         gate_malformed_amount,
         gate_cardinality_drift,
         gate_freshness,
+        gate_absent_column,
+        gate_future_events,
+        gate_drift_given_prior,
         failed_gates,
         gate_alerts,
         promoted_rows,
@@ -448,6 +548,12 @@ QUERIES = {
         landed_batches,
         stored_silver,
         stored_gold_fact,
+        registered_gold,
+        cleaned_batches,
+        dim_customer_in_order,
+        fact_in_order,
+        dim_offer_in_order,
+        retention_in_order,
         stored_quality_report,
         duplicate_keys,
         silver_dedupe,
@@ -461,6 +567,8 @@ QUERIES = {
         sla_alert_messages,
         sla_breach_count,
         sla_run_elapsed,
+        sla_run_alerted,
+        sla_run_messages,
         ledger_latest,
         quality_score,
         quality_failed_checks,
