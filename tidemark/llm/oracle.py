@@ -113,14 +113,14 @@ SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM ta
 """
 
 
-def _spans(kind: int, pattern: str, value: int, least: int) -> str:
+def _spans(kind: int, pattern: str, value: int, least: int, texts: str = "d") -> str:
     p = _text(pattern)
     return f"""
   SELECT doc_id, t, {kind} AS kind, v,
     (sum(length(g)) OVER o + coalesce(sum(length(m)) OVER p, 0))::BIGINT AS start, (sum(length(g)) OVER o + sum(length(m)) OVER o)::BIGINT AS stop
   FROM (
     SELECT doc_id, t, i, string_split_regex(t, {p})[i] AS g, regexp_extract_all(t, {p})[i] AS m, regexp_extract_all(t, {p}, {value})[i] AS v
-    FROM (SELECT doc_id, t, unnest(range(1, len(regexp_extract_all(t, {p})) + 1)) AS i FROM d WHERE regexp_matches(t, {p}))
+    FROM (SELECT doc_id, t, unnest(range(1, len(regexp_extract_all(t, {p})) + 1)) AS i FROM {texts} WHERE regexp_matches(t, {p}))
   )
   WINDOW o AS (PARTITION BY doc_id ORDER BY i), p AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
   QUALIFY length(v) >= {least}"""
@@ -135,11 +135,18 @@ _W = secrets.WINDOW
 OP6 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({_spans(0, secrets.ASSIGN, 1, secrets.MIN_VALUE)} UNION ALL {_spans(1, secrets.ACCESS, 0, 0)} UNION ALL {_spans(2, secrets.HEX, 0, 0)}),
-candidate AS ({_spans(3, secrets.CANDIDATE, 0, 0)}),
-alone AS (
-  SELECT *, v AS s FROM candidate c
-  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop) AND NOT regexp_matches(v, {_ALLOWED})
+reached AS (
+  SELECT doc_id, t, start, stop, coalesce(max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS past
+  FROM base
 ),
+blanked AS (
+  SELECT doc_id, string_agg(substr(t, past + 1, greatest(start - past, 0)) || repeat(' ', greatest(stop - greatest(start, past), 0)), '' ORDER BY start, stop)
+    || substr(any_value(t), max(stop) + 1) AS t
+  FROM reached GROUP BY doc_id
+),
+rest AS (SELECT d.doc_id, coalesce(b.t, d.t) AS t FROM d LEFT JOIN blanked b USING (doc_id)),
+candidate AS ({_spans(3, secrets.CANDIDATE, 0, 0, "rest")}),
+alone AS (SELECT *, v AS s FROM candidate WHERE NOT regexp_matches(v, {_ALLOWED})),
 windows AS (SELECT doc_id, start, s, i, unnest(string_split(substr(s, i, {_W}), '')) AS ch FROM (SELECT *, unnest(range(1, length(s) - {_W} + 2)) AS i FROM alone)),
 counts AS (SELECT doc_id, start, s, i, ch, count(*) AS n FROM windows GROUP BY ALL),
 bits AS (

@@ -6,6 +6,8 @@ between its matches (`split`) and of the matches themselves (`regexp_extract_all
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,80 +35,166 @@ ALLOWED = (
 MASK = "[secret]"
 
 SPAN = "struct<start:int,kind:int,end:int>"
+# A stretch of text that stays, and how many characters behind it go.
+PIECE = "struct<from:int,to:int,gone:int>"
+# Arrays grow in blocks of so many elements, and texts are cut into blocks of so many characters, so that
+# neither is copied or searched from its start once for each match.
+GROWTH = 64
+BLOCK = 4096
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _walk(items: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]], kind: str) -> Column:
+    """Walk over an array with a position that starts at 0: a struct of the last position `at` and all that was put `out`.
+
+    `step` of position and element gives the next position, whether to put something out, and what.
+    """
+
+    def one(acc: Column, x: Column) -> Column:
+        at, keep, out = step(acc["at"], x)
+        return F.struct(at.alias("at"), F.when(keep, F.concat(acc["out"], F.array(out))).otherwise(acc["out"]).alias("out"))
+
+    def empty(of: str) -> Column:
+        return F.array().cast(f"array<{of}>").alias("out")
+
+    def whole(items: Column) -> Column:
+        def block(acc: Column, k: Column) -> Column:
+            part = F.slice(items, k * GROWTH + 1, F.lit(GROWTH))
+            done = F.aggregate(part, F.struct(acc["at"].alias("at"), empty(kind)), one)
+            return _let(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+        blocks = F.sequence(F.lit(0), F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / GROWTH).cast("int"))
+        zero = F.struct(F.lit(0).alias("at"), empty(f"array<{kind}>"))
+        return F.aggregate(blocks, zero, block, lambda acc: F.struct(acc["at"].alias("at"), F.flatten(acc["out"]).alias("out")))
 
+    return _let(items, whole)
 
-def _spans(text: Column, pattern: str, kind: int, value: int | None = None) -> Column:
-    """The spans of all matches, as an array of (start, kind, end) in code points.
+
+def _spans(text: Column, pattern: str, kind: int, value: int | None = None, texts: bool = False) -> Column:
+    """The spans of all matches, as an array of (start, kind, end) in code points; with `texts`, also what matched.
 
     With `value`, only those whose group of that number has MIN_VALUE characters or more.
     """
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value or 0))
-    lengths = F.filter(
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value)) if value else hits
+    matches = F.filter(
         F.zip_with(
             gaps,
-            F.zip_with(hits, values, lambda m, v: F.struct(F.length(m).alias("m"), F.length(v).alias("v"))),
+            F.zip_with(hits, values, lambda m, v: F.struct(m.alias("m"), F.length(v).alias("v"))),
             lambda g, m: F.struct(F.length(g).alias("g"), m["m"].alias("m"), m["v"].alias("v")),
         ),
         lambda x: x["m"].isNotNull(),
     )
-    found = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + x["m"]).alias("at"),
-            F.when(
-                x["v"] >= (MIN_VALUE if value else 0),
-                F.concat(
-                    acc["found"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + x["g"]).alias("start"),
-                            F.lit(kind).alias("kind"),
-                            (acc["at"] + x["g"] + x["m"]).alias("end"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(acc["found"])
-            .alias("found"),
-        ),
-        lambda acc: acc["found"],
-    )
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        start, end = at + x["g"], at + x["g"] + F.length(x["m"])
+        span = [start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")]
+        return end, x["v"] >= (MIN_VALUE if value else 0), F.struct(*span, *([x["m"].alias("s")] if texts else []))
+
+    shape = SPAN.replace(">", ",s:string>") if texts else SPAN
+    none = F.array().cast(f"array<{shape}>")
+    return F.when(text.rlike(pattern), _walk(matches, step, shape)["out"]).otherwise(none)
+
+
+def _written_over(text: Column, spans: Column, put: Callable[[Column], Column], each: bool) -> Column:
+    """The text with `put` of a number of characters in place of those that the ordered spans cover.
+
+    With `each`, a span that begins inside an earlier one belongs to it, however far it goes on; without, what it covers
+    beyond is put for itself. The text is cut into blocks once, and each piece that stays is taken from its blocks.
+    """
+
+    def step(at: Column, x: Column) -> tuple[Column, Column, Column]:
+        to = F.greatest(at, x["start"])
+        piece = F.struct(at.alias("from"), to.alias("to"), (x["end"] - to).alias("gone"))
+        return F.greatest(at, x["end"]), x["start"] >= at if each else x["end"] > at, piece
+
+    def pieces(blocks: Column, start: Column, end: Column) -> Column:
+        def cut(k: Column) -> Column:
+            first = F.greatest(start - k * BLOCK, F.lit(0))
+            return F.substring(F.get(blocks, k), first + 1, F.least(end - k * BLOCK, F.lit(BLOCK)) - first)
+
+        numbers = F.sequence(F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int"))
+        return F.when(end > start, F.transform(numbers, cut)).otherwise(F.array().cast("array<string>"))
+
+    def joined(blocks: Column) -> Column:
+        def parts(walked: Column) -> Column:
+            kept = F.transform(walked["out"], lambda p: F.concat(pieces(blocks, p["from"], p["to"]), F.array(put(p["gone"]))))
+            return F.array_join(F.concat(F.flatten(kept), pieces(blocks, walked["at"], F.length(text))), "")
+
+        return _let(_walk(spans, step, PIECE), parts)
+
+    return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), joined)
 
 
 def window_bits(string: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits per character, of any `window` characters.
 
     One pass: a character that enters or leaves changes its count, and with it the sum of
-    count * log2(count), from which the entropy follows. Null if the string is shorter.
+    count * log2(count), from which the entropy follows. Counts are an array with a place for each
+    different character. Null if the string is shorter.
     """
 
     def weight(n: Column) -> Column:
         return F.when(n > 1, n * F.log2(n)).otherwise(0.0)
 
-    def count(inside: Column, char: Column) -> Column:
-        return F.length(inside) - F.length(F.replace(inside, char, F.lit("")))
-
-    def slide(acc: Column, i: Column) -> Column:
-        first = F.greatest(i - window, F.lit(1))  # of the window before, which ends at i - 1
-        inside = F.substring(string, first, i - first)
-        enters, leaves = F.substring(string, i, F.lit(1)), F.substring(string, first, F.lit(1))
-        came = count(inside, enters)
-        grown = acc["sum"] + weight(came + 1) - weight(came)
-        gone = count(F.concat(inside, enters), leaves)
-        total = F.when(i > window, grown - weight(gone) + weight(gone - 1)).otherwise(grown)
-        least = F.when(i >= window, F.least(acc["least"], total)).otherwise(acc["least"])
-        return F.struct(total.alias("sum"), least.alias("least"))
-
-    return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.length(string), F.lit(1))),
-        F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("double").alias("least")),
-        slide,
-        lambda acc: F.round(F.log2(F.lit(float(window))) - acc["least"] / window, 6),
-    )
+    def counted(counts: Column, place: Column, n: Column) -> Column:
+        return F.concat(F.slice(counts, F.lit(1), place - 1), F.array(n), F.slice(counts, place + 1, F.size(counts)))
+
+    def enter(acc: Column, x: Column) -> Column:
+        n = F.get(acc["counts"], x["enters"] - 1)
+        return F.struct(
+            counted(acc["counts"], x["enters"], n + 1).alias("counts"),
+            (acc["sum"] + weight(n + 1) - weight(n)).alias("sum"),
+            acc["least"].alias("least"),
+            (acc["n"] + 1).alias("n"),
+        )
+
+    def leave(acc: Column, x: Column) -> Column:
+        n = F.get(acc["counts"], x["leaves"] - 1)
+        return F.struct(
+            counted(acc["counts"], x["leaves"], n - 1).alias("counts"),
+            (acc["sum"] - weight(n) + weight(n - 1)).alias("sum"),
+            acc["least"].alias("least"),
+            acc["n"].alias("n"),
+        )
+
+    def judge(acc: Column) -> Column:
+        full = acc["n"] >= window
+        return F.struct(
+            acc["counts"].alias("counts"),
+            acc["sum"].alias("sum"),
+            F.when(full, F.least(acc["least"], acc["sum"])).otherwise(acc["least"]).alias("least"),
+            acc["n"].alias("n"),
+        )
+
+    def slide(acc: Column, x: Column) -> Column:
+        left = F.when(x["leaves"].isNull(), acc).otherwise(leave(acc, x))
+        return _let(_let(left, lambda a: enter(a, x)), judge)
+
+    def over(codes: Column) -> Column:
+        # What leaves when a character enters: the one `window` places before it.
+        leaving = F.concat(F.array_repeat(F.lit(None).cast("int"), window), codes)
+        steps = F.filter(
+            F.zip_with(codes, leaving, lambda e, v: F.struct(e.alias("enters"), v.alias("leaves"))), lambda x: x["enters"].isNotNull()
+        )
+        zero = F.struct(
+            F.array_repeat(F.lit(0), F.greatest(F.array_max(codes), F.lit(1))).alias("counts"),
+            F.lit(0.0).alias("sum"),
+            F.lit(None).cast("double").alias("least"),
+            F.lit(0).alias("n"),
+        )
+        bits = F.aggregate(steps, zero, slide, lambda acc: F.log2(F.lit(float(window))) - acc["least"] / window)
+        return F.round(bits, 6)
+
+    def coded(chars: Column) -> Column:
+        return _let(F.array_distinct(chars), lambda a: F.transform(chars, lambda c: F.array_position(a, c).cast("int")))
+
+    return _let(_let(F.split(string, "", -1), coded), over)
 
 
 def looks_random(string: Column) -> Column:
@@ -123,7 +211,8 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     found is an array of (start, kind, end) in code points, ordered by start, then by
     kind (the place in KINDS); spans says the same as text, kind:start:end with commas.
     base_sha256 is the hash of that text for the three pattern kinds. Matches of one kind
-    do not overlap; those of different kinds may, but an entropy span never overlaps another one.
+    do not overlap; those of different kinds may, but an entropy span never overlaps another one: candidates
+    are what base spans leave of a string, if that is long enough.
     masked is the text with MASK in place of each run of overlapping spans. Null and empty
     texts hold nothing (masked: as they are). Columns of these names are replaced.
     """
@@ -133,20 +222,13 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     step = step.withColumn("assign", _spans(F.col("text"), ASSIGN, 0, 1))
     step = step.withColumn("access", _spans(F.col("text"), ACCESS, 1))
     step = step.withColumn("hex", _spans(F.col("text"), HEX, 2))
-    step = step.withColumn("candidates", _spans(F.col("text"), CANDIDATE, 3))
     step = step.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    alone = F.filter(
-        "candidates",
-        lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-    )
-    step = step.withColumn("candidates", alone)
-    step = step.withColumn(
-        "entropy",
-        F.filter(
-            "candidates",
-            lambda x: F.coalesce(looks_random(F.substring(F.col("text"), x["start"] + 1, x["end"] - x["start"])), F.lit(False)),
-        ),
-    )
+    # Candidates are looked for in what the base spans leave.
+    rest = _written_over(F.col("text"), F.col("base"), lambda n: F.repeat(F.lit(" "), n), each=False)
+    step = step.withColumn("rest", F.when(F.size("base") > 0, rest).otherwise(F.col("text")))
+    step = step.withColumn("candidates", _spans(F.col("rest"), CANDIDATE, 3, texts=True))
+    likely = F.filter("candidates", lambda x: F.coalesce(looks_random(x["s"]), F.lit(False)))
+    step = step.withColumn("entropy", F.transform(likely, lambda x: F.struct(x["start"], x["kind"], x["end"])))
     step = step.withColumn("found", F.array_sort(F.concat("base", "entropy")))
 
     def written(spans: Column) -> Column:
@@ -155,18 +237,7 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
             F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"], x["end"])), ","
         )
 
-    # Runs of overlapping spans, then the text around them.
-    masked = F.aggregate(
-        "found",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(x["start"] < acc["at"], acc["out"])
-            .otherwise(F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit(MASK)))
-            .alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
-    )
+    masked = _written_over(F.col("text"), F.col("found"), lambda n: F.lit(MASK), each=True)
     return together(
         step,
         columns,
