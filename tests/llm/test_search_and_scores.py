@@ -120,6 +120,20 @@ def test_pipeline_keeps_one_of_each_group(copies):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({root for _, root in brute_groups(rows, 5, 80).values()})
 
 
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [
+        (5, a, "s1"), (5, b, "s1"), (3, a + " more", "s2"), (7, b, "s1"), (7, b, "s1"), (7, b, "s2"), (None, c, "s1"), (None, c, "s2"),
+        (None, b, "s1"), (None, None, "s1"), (None, None, "s1"), (9, None, None), (9, "", None), (10, "", "s1"), (11, "one two", "s1"), (12, "one two", "s1"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, "")
+    assert kept.columns == docs.columns
+    expected = [(3, a + " more"), (5, b), (9, None), (9, ""), (10, ""), (11, "one two"), (None, None), (None, c)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(expected, key=str)
+    assert corpus_pipeline.ngram_jaccard_join(spark, docs.where("doc_id < 0"), "").count() == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 25), min_size=1, max_size=14), min_size=1, max_size=40), st.sampled_from([50, 70, 85]))
 def test_region_join_equals_brute_force(sets, percent):
