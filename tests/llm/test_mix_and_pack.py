@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import mixing, packing
+from tidemark.llm import mixing, packing, tokens
 from tidemark.llm.tokens import WordTokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -207,3 +207,15 @@ def test_sizes_of_nulls_and_an_empty_table(spark):
     assert sorted(got, key=str) == [(1, "s", 2), (1, "s", 2), (None, None, 0)]
     empty = mixing.sized(docs.where("doc_id > 5"))
     assert mixing.mix(empty, size=F.col("size")).count() == 0
+
+
+def test_words_learnt_before_do_not_change_ids(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    fresh, shared = tokens.WordTokenizer(path, 0), tokens.word_tokenizer(path, 0)
+    assert tokens.word_tokenizer(path, 0) is shared
+    texts = ["Some words, some more words.", "ünïcödé 😀 déjà vu", "", "it's <|odd|> x" * 3]
+    shared.encode(["other words first, and some 123", *texts[::-1]])
+    monkeypatch.setattr(tokens, "MEMORY_WORDS", 3)  # more are known: the memory is started anew
+    for _ in range(2):
+        for got, want in zip(shared.encode(texts), fresh.encode(texts), strict=True):
+            assert got.tolist() == want.tolist()

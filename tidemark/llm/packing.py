@@ -39,9 +39,9 @@ def cut(docs: DataFrame, tokenizer: str, text: str = "text", id_col: str = "doc_
     ddl = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tidemark.llm.tokens import WordTokenizer
+        from tidemark.llm.tokens import word_tokenizer
 
-        words = WordTokenizer(tokenizer, end_id)
+        words = word_tokenizer(tokenizer, end_id)
         for batch in batches:
             offsets, _ = text_buffers(batch.column(1))
             for first, end in text_pieces(offsets):

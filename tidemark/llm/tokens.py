@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -110,6 +111,15 @@ class WordTokenizer:
         return ids, np.concatenate([[0], ends[np.cumsum(counts) - 1]]).astype(np.int64)
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str, end_id: int = 0) -> WordTokenizer:
+    """The tokenizer of this Python process: tasks that run in it one after another share the words they have learnt.
+
+    What it gives does not depend on them. A process whose task failed is not used again.
+    """
+    return WordTokenizer(path, end_id)
+
+
 def _byte_of_char() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable ones for themselves, the rest from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
