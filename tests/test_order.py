@@ -65,3 +65,32 @@ def test_no_window_over_all_rows_and_no_join_without_a_key(spark):
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
     # The only exchange into a single partition holds the counts of ranges.
     assert text.count("SinglePartition") == 1
+
+
+def test_the_plan_does_not_grow_with_the_ranges(spark):
+    df = spark.range(2000).selectExpr("CAST(id % 7 AS string) AS k", "id AS n")
+
+    def text(range_rows):
+        return numbered(df, ["k"], range_rows=range_rows)._jdf.queryExecution().optimizedPlan().toString()
+
+    few, many = text(500), text(2)
+    # Two steps of halving against ten, and no function over an array of bounds.
+    assert len(many) < 8 * len(few) and many.count("Project") < 10 * few.count("Project")
+    assert "lambda" not in many
+    got = numbered(df, ["k"], range_rows=2)
+    assert got.selectExpr("CAST(k AS bigint) * 1000000 + n AS at", "row_no").orderBy("at").selectExpr("row_no").limit(3).collect() == [(1,), (2,), (3,)]
+    assert got.selectExpr("count(DISTINCT row_no)", "min(row_no)", "max(row_no)").first() == (2000, 1, 2000)
+
+
+def test_values_of_every_kind_and_descending_ones_fall_into_ranges(spark):
+    rng = random.Random(3)
+    nan = float("nan")
+    given = [(rng.choice([None, True, False]), rng.choice([None, nan, -0.5, 3.0]), bytes([rng.randrange(4)]), {"m": rng.randrange(9)}, i) for i in range(300)]
+    df = spark.createDataFrame(given, "b boolean, x double, raw binary, tags map<string, int>, n bigint").repartition(3)
+    got = numbered(df, ["b", "x", "n"], descending=("n",), range_rows=5).orderBy("row_no").collect()
+    assert [r.row_no for r in got] == list(range(1, 301)) and [r.asDict().keys() for r in got[:1]] == [{**dict.fromkeys(df.columns), "row_no": 0}.keys()]
+
+    def place(b, x, n):
+        return (*first_null(b), x is not None, x != x, 0 if x is None or x != x else x, -n)
+
+    assert [r.n for r in got] == [r[4] for r in sorted(given, key=lambda r: place(r[0], r[1], r[4]))]

@@ -2,6 +2,9 @@
 
 Rows are dealt to ranges of the order, whose bounds come from a sample. The ranges are counted, the few
 counts are summed up from the first range on, and a window numbers the rows inside each range.
+
+The bounds reach the tasks as the one row of a subquery, so that neither the plan nor the time to build it
+grows with them.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from tidemark.operators.lanes import instant
 
 # Rows that one task numbers, as far as MAX_RANGES allows; more are sorted with spilling.
 RANGE_ROWS = 1_000_000
-# Bounds are literals of the plan, so there are at most so many.
+# Every task holds the bounds and the driver collects them, so there are at most so many.
 MAX_RANGES = 4096
 # Sampled rows per range, so that at most SAMPLES * MAX_RANGES narrow rows are sorted in one task to find the bounds.
 SAMPLES = 64
@@ -49,16 +52,21 @@ def range_bounds(keys: DataFrame, range_rows: int = RANGE_ROWS) -> list:
     return firsts.select("_first").distinct().orderBy("_first").select("_first.*").collect()
 
 
-def _range_of(schema: T.StructType, bounds: list) -> Column:
-    """The number of bounds up to a row's keys, by halving."""
-    at = F.struct(*schema.names)
-    known = F.array(
-        *[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema, bound)]) for bound in bounds]
-    )
-    steps = F.array(*[F.lit(1 << b) for b in range(len(bounds).bit_length() - 1, -1, -1)])
-    return F.aggregate(
-        steps, F.lit(0), lambda n, step: F.when(F.get(known, n + step - 1) <= at, n + step).otherwise(n)
-    )
+def _with_range(rows: DataFrame, names: list[str], bounds: list) -> DataFrame:
+    """Add `_range`, the number of the bounds up to a row's values of `names`, by halving.
+
+    One projection a step: unlike a function over an array they are compiled, and they are the same
+    for any number of bounds of that many bits.
+    """
+    fields = [T.StructField(f"_k{i}", rows.schema[n].dataType) for i, n in enumerate(names)]
+    kept = T.StructType([T.StructField("bounds", T.ArrayType(T.StructType(fields)))])
+    known = rows.sparkSession.createDataFrame([([tuple(b) for b in bounds],)], kept).scalar()
+    at = F.struct(*[F.col(n).alias(f.name) for n, f in zip(names, fields)])
+    found = rows.select("*", at.alias("_at"), F.lit(0).alias("_range"))
+    for bit in range(len(bounds).bit_length() - 1, -1, -1):
+        beyond = F.get(known, F.col("_range") + ((1 << bit) - 1)) <= F.col("_at")
+        found = found.withColumn("_range", F.col("_range") + F.when(beyond, 1 << bit).otherwise(0))
+    return found.drop("_at")
 
 
 def numbered(
@@ -71,16 +79,19 @@ def numbered(
     computed four times (count, sample, counts of ranges, numbers): store what is costly first.
     """
     rows = rows.drop(out)
-    by = [-_key(rows, c) if c in descending else _key(rows, c) for c in order]
-    by += [_key(rows, c) for c in rows.columns if c not in order]
-    names = [f"_o{i}" for i in range(len(by))]
-    keyed = rows.select(F.struct("*").alias("_row"), *[k.alias(n) for k, n in zip(by, names)])
-    keys = keyed.select(*names)
-
-    bounds = range_bounds(keys, range_rows)
+    names, extra = [], []
+    for c in [*order, *[c for c in rows.columns if c not in order]]:
+        # A column that sorts as it is travels once, as its own key.
+        plain = c not in descending and isinstance(rows.schema[c].dataType, PLAIN)
+        names.append(c if plain else f"_o{len(names)}")
+        if not plain:
+            extra.append((-_key(rows, c) if c in descending else _key(rows, c)).alias(names[-1]))
+    keyed = rows.select("*", *extra)
+
+    bounds = range_bounds(keyed.select(*names), range_rows)
     place = F.row_number().over(Window.orderBy(*names))
     if bounds:
-        keyed = keyed.withColumn("_range", _range_of(keys.schema, bounds))
+        keyed = _with_range(keyed, names, bounds)
         # One row per range reaches this window.
         earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
         sizes = keyed.groupBy("_range").agg(F.count("*").alias("_n"))
@@ -88,4 +99,4 @@ def numbered(
         inside = F.row_number().over(Window.partitionBy("_range").orderBy(*names))
         keyed = keyed.withColumn("_inside", inside).join(F.broadcast(starts), "_range")
         place = F.col("_before") + F.col("_inside")
-    return keyed.select(*[F.col("_row")[c].alias(c) for c in rows.columns], place.cast("bigint").alias(out))
+    return keyed.select(*rows.columns, place.cast("bigint").alias(out))
