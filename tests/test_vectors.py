@@ -132,3 +132,45 @@ def test_no_vectors_and_no_queries(spark):
     assert v.knn(queries, frame.limit(0), cells=4).isEmpty()
     assert v.knn(queries.limit(0), frame, cells=4).isEmpty()
     assert v.knn(queries, frame.limit(0)).isEmpty()
+
+
+def test_blocks_go_to_a_few_pieces_and_not_to_every_shuffle_partition(spark):
+    rows, frame = table(spark, 400, seed=5)
+    queries = frame.withColumnRenamed("id", "query_id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        for cells in (1, 5):
+            found = v.knn(queries, frame, k=3, on=["doc"], query_rows=8, vector_rows=16, cells=cells)
+            plan = found._jdf.queryExecution().analyzed().toString()
+            assert "explode(sequence(0, " in plan and "sequence(0, 63" not in plan
+            assert found.count() == 3 * len(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_every_pair_of_blocks_meets_once_in_the_grid_of_its_key(spark):
+    _, frame = table(spark, 500, seed=6)
+    vectors = v._usable(frame, "id", "embedding", ["doc"])
+    keys = ["doc", "_dim"]
+    most, sides = v._sides(vectors, vectors, keys, 1000)
+    sizes = {r["doc"]: r["count"] for r in frame.groupBy("doc").count().collect()}
+    assert most == sizes["big"]
+    grids = {r["doc"]: (r["_rows"], r["_columns"]) for r in sides.collect()}
+    # Most pairs are in the largest value: nearly all pieces are its own, and a small value is one piece.
+    assert set(grids) == {"big"} and 4 <= grids["big"][0] * grids["big"][1] <= 12
+    asked = v._blocks(vectors, "id", "embedding", keys, 8, "q")
+    blocks = v._blocks(vectors, "id", "embedding", keys, 16, "v")
+    met = v._met(asked, blocks, keys, 7, sides).select("doc", "q_ids", "v_ids").collect()
+    a, b = asked.collect(), blocks.collect()
+    want = sorted((x["doc"], x["q_ids"], y["v_ids"]) for x in a for y in b if x["doc"] == y["doc"])
+    assert sorted(tuple(r) for r in met) == want
+    assert v._sides(vectors.limit(0), vectors, keys, 8) == (0, None)
+
+
+def test_equal_queries_under_two_filter_values(spark):
+    rows = [(i, [float(i % 5), 1.0], d) for d in ("x", "y") for i in range(60)]
+    frame = spark.createDataFrame(rows, "id bigint, embedding array<float>, doc string")
+    queries = frame.withColumnRenamed("id", "query_id")
+    got, plain = (v.knn(queries, frame, k=2, on=["doc"], vector_rows=4, query_rows=4, cells=c).collect() for c in (5, 1))
+    assert sorted(got) == sorted(plain)

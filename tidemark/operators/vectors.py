@@ -5,13 +5,18 @@ are joined on the filter columns. One joined row stands for a whole block of
 distances, which numpy computes at once; only the k best per query leave it, so no
 query-vector pair ever becomes a row and only k rows per query and block shuffle.
 
-Beyond a few blocks, vectors and queries are dealt to cells around pivots first, and a block is a ball
-of one cell. A first pass over the blocks of a query's own cell bounds its k-th distance;
+The work of a filter value is dealt to a grid: a query block goes to one row of it, a vector block to one column,
+and each pair of blocks meets in one piece. There are about PIECES_PER_CORE pieces a core in all, so a block is
+copied no more often as the tables grow.
+
+Where a filter value has many blocks, vectors and queries are dealt to cells around pivots first, and a block is a ball
+of one cell. A first pass over one ball of a query's own cell bounds its k-th distance;
 by the triangle inequality only balls that come nearer than that are joined in the second.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator
 
@@ -27,6 +32,12 @@ from tidemark.operators.lanes import latest_per_key
 METRICS = ("l2", "cosine")
 # Cells at most: their pivots and the distances between them are broadcast (256 vectors, 65,536 numbers).
 MAX_CELLS = 256
+# Blocks of the most frequent filter value for each cell: with fewer, cells only make blocks small.
+CELL_BLOCKS = 4
+# Pieces that the pairs of blocks are dealt to, for each core.
+PIECES_PER_CORE = 2
+# Vectors that a task packs together, so that its blocks fill up across Arrow batches.
+CHUNK_BYTES = 16 << 20
 # The cell of vectors that have no place among the pivots: all of them are searched.
 ANYWHERE = -1
 
@@ -39,6 +50,19 @@ def latest_vectors(vectors: DataFrame, *, id: str = "id", version: str = "update
     return latest_per_key(vectors, [id], [F.col(version)])
 
 
+def _chunks(batches: Iterator[pd.DataFrame], embedding: str) -> Iterator[pd.DataFrame]:
+    """The rows of a partition, about CHUNK_BYTES of float32 numbers at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += 4 * sum(map(len, batch[embedding]))
+        if size >= CHUNK_BYTES:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _blocks(df: DataFrame, id: str, embedding: str, on: list[str], rows: int, prefix: str) -> DataFrame:
     """(on..., <prefix>_ids, <prefix>_data): blocks of at most `rows` vectors as float32 bytes."""
     schema = T.StructType(
@@ -50,7 +74,7 @@ def _blocks(df: DataFrame, id: str, embedding: str, on: list[str], rows: int, pr
     )
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _chunks(batches, embedding):
             groups = batch.groupby(on, sort=False) if on else [((), batch)]
             out = []
             for key, group in groups:
@@ -124,12 +148,11 @@ def knn(
     A vector that is null or empty or holds a null or non-finite number takes no part on either
     side, and a query only sees vectors of its own number of dimensions.
 
-    Vector blocks are dealt to as many buckets as there are shuffle partitions, and each query
-    block goes to every bucket once: a filter value with many vectors, or none at all, is spread evenly.
+    A filter value with much of the work, or none at all, is spread over a grid of pieces; others are one piece each.
 
-    `cells` is the number of cells, by default one for each `vector_rows` vectors, up to MAX_CELLS; with fewer than
-    two every query block meets every vector block of its filter values. It changes no result. The more the vectors lie in
-    clusters, the fewer blocks meet.
+    `cells` is the number of cells, by default one for each CELL_BLOCKS * `vector_rows` vectors of the most frequent filter
+    value, up to MAX_CELLS; with fewer than two every query block meets every vector block of its filter values. It changes
+    no result. The more the vectors lie in clusters, the fewer blocks meet.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
@@ -162,17 +185,18 @@ def knn(
             ]
         )
 
+    most, sides = _sides(queries, vectors, keys, buckets)
     if cells is None:
-        cells = min(MAX_CELLS, vectors.count() // vector_rows)
+        cells = min(MAX_CELLS, most // (CELL_BLOCKS * vector_rows))
     if cells < 2:
         query_blocks = _blocks(queries, query_id, embedding, keys, query_rows, "q")
         vector_blocks = _blocks(vectors, id, embedding, keys, vector_rows, "v")
-        pairs = _dealt(vector_blocks, buckets).join(_to_all(query_blocks, buckets), [*keys, "_bucket"])
+        pairs = _met(query_blocks, vector_blocks, keys, buckets, sides)
     else:
         pivots = _pivots(vectors, id, embedding, cells, metric)
         query_blocks = _balls(queries, query_id, embedding, keys, query_rows, "q", pivots, metric)
         vector_blocks = _balls(vectors, id, embedding, keys, vector_rows, "v", pivots, metric)
-        pairs = near_pairs(query_blocks, vector_blocks, keys, pivots, k, metric, buckets)
+        pairs = near_pairs(query_blocks, vector_blocks, keys, pivots, k, metric, buckets, sides)
     candidates = pairs.select(F.inline(best_of("q_ids", "q_data", "v_ids", "v_data")))
     nearest = Window.partitionBy("query_id").orderBy("distance", "id")
     return (
@@ -182,12 +206,51 @@ def knn(
     )
 
 
-def _dealt(blocks: DataFrame, buckets: int) -> DataFrame:
-    return blocks.withColumn("_bucket", F.pmod(F.xxhash64("v_ids"), F.lit(buckets)).cast("int"))
+def _sides(queries: DataFrame, vectors: DataFrame, keys: list[str], buckets: int) -> tuple[int, DataFrame | None]:
+    """(vectors of the most frequent filter value, grids of the values that are more than one piece).
 
+    A value gets pieces by its share of all pairs; rows and columns of its grid are such that the copies are fewest.
+    The driver sees only values with more than one piece, fewer than there are pieces.
+    """
+    spark = vectors.sparkSession
+    pieces = max(1, min(buckets, PIECES_PER_CORE * spark.sparkContext.defaultParallelism))
+    asked = queries.groupBy(*keys).agg(F.count("*").cast("double").alias("_q"))
+    counted = vectors.groupBy(*keys).agg(F.count("*").cast("double").alias("_v")).join(asked, keys)
+    most, work = counted.agg(F.max("_v"), F.sum(F.col("_q") * F.col("_v"))).first()
+    if not work:
+        return 0, None
+    rows = []
+    for found in counted.where(F.col("_q") * F.col("_v") * pieces >= 1.5 * work).collect():
+        n_pieces = round(pieces * found["_q"] * found["_v"] / work)
+        columns = min(max(1, round(math.sqrt(n_pieces * found["_v"] / found["_q"]))), n_pieces)
+        rows.append((*[found[c] for c in keys], -(-n_pieces // columns), columns))
+    schema = T.StructType([*[counted.schema[c] for c in keys], T.StructField("_rows", T.IntegerType()), T.StructField("_columns", T.IntegerType())])
+    return int(most), spark.createDataFrame(rows, schema) if rows else None
+
+
+def _met(
+    query_blocks: DataFrame, vector_blocks: DataFrame, keys: list[str], buckets: int, sides: DataFrame | None, near: Column | None = None
+) -> DataFrame:
+    """The pairs of blocks of equal `keys`, each in one piece of the grid of its keys; only those that are `near`, if given."""
 
-def _to_all(blocks: DataFrame, buckets: int) -> DataFrame:
-    return blocks.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    def sized(blocks):
+        if sides is None:
+            return blocks.withColumns({"_rows": F.lit(1), "_columns": F.lit(1)})
+        return blocks.join(F.broadcast(sides), keys, "left").fillna(1, ["_rows", "_columns"])
+
+    def all_of(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def own(ids, n):
+        return F.pmod(F.xxhash64(ids), F.col(n)).cast("int")
+
+    q = sized(query_blocks).withColumn("_row", own("q_ids", "_rows")).withColumn("_column", all_of("_columns"))
+    v = sized(vector_blocks).withColumn("_column", own("v_ids", "_columns")).withColumn("_row", all_of("_rows"))
+    place = [*keys, "_row", "_column"]
+    # Pieces are much work on few bytes, so that they must not be put together by their size.
+    q, v = (side.drop("_rows", "_columns").repartition(buckets, *place) for side in (q, v))
+    met = q.join(v, place)
+    return met if near is None else met.where(near)
 
 
 def _points(data: np.ndarray, metric: str) -> np.ndarray:
@@ -223,7 +286,7 @@ def _balls(
     )
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _chunks(batches, embedding):
             out = []
             for key, group in batch.groupby(on, sort=False):
                 data = np.stack(group[embedding].to_numpy()).astype(np.float32)
@@ -252,9 +315,16 @@ def _balls(
 
 
 def near_pairs(
-    query_blocks: DataFrame, vector_blocks: DataFrame, keys: list[str], pivots: dict[int, np.ndarray], k: int, metric: str, buckets: int
+    query_blocks: DataFrame,
+    vector_blocks: DataFrame,
+    keys: list[str],
+    pivots: dict[int, np.ndarray],
+    k: int,
+    metric: str,
+    buckets: int,
+    sides: DataFrame | None = None,
 ) -> DataFrame:
-    """The pairs of blocks that can hold one of the k nearest of a query, from `_balls` of both sides."""
+    """The pairs of blocks that can hold one of the k nearest of a query, from `_balls` of both sides; `sides` as from `_sides`."""
 
     @F.pandas_udf("double")
     def bound_of(q_ids: pd.Series, q_data: pd.Series, v_ids: pd.Series, v_data: pd.Series) -> pd.Series:
@@ -269,9 +339,12 @@ def near_pairs(
             out.append(float(np.sqrt(max(np.partition(square, k - 1, axis=1)[:, k - 1].max(), 0.0))))
         return pd.Series(out)
 
-    dealt = _dealt(vector_blocks, buckets)
-    asked = query_blocks.withColumn("q_block", F.xxhash64("q_ids", "q_data"))
-    own = _to_all(asked, buckets).join(dealt.withColumnRenamed("v_cell", "q_cell"), [*keys, "q_cell", "_bucket"])
+    asked = query_blocks.withColumn("q_block", F.xxhash64(*keys, "q_ids", "q_data"))
+    # One ball a cell is enough for a bound: the smallest that holds k vectors.
+    filled = vector_blocks.where(F.size("v_ids") >= k)
+    least = filled.groupBy(*keys, "v_cell").agg(F.min("v_radius").alias("v_radius"))
+    inner = filled.join(least, [*keys, "v_cell", "v_radius"]).withColumnRenamed("v_cell", "q_cell")
+    own = asked.join(inner, [*keys, "q_cell"])
     bounds = own.select("q_block", bound_of("q_ids", "q_data", "v_ids", "v_data").alias("bound"))
     bounds = bounds.groupBy(F.col("q_block").alias("of")).agg(F.min("bound").alias("bound"))
 
@@ -286,19 +359,25 @@ def near_pairs(
     rows += [(dim, i, ANYWHERE, 0.0) for dim, near in pivots.items() for i in range(len(near))]
     rows += [(dim, ANYWHERE, j, 0.0) for dim, near in pivots.items() for j in [*range(len(near)), ANYWHERE]]
     ways = query_blocks.sparkSession.createDataFrame(rows, "_dim int, q_cell int, v_cell int, apart double")
-    reach = asked.join(bounds, F.col("q_block") == F.col("of"), "left").withColumn("reach", F.coalesce("bound", F.lit(float("inf"))) + F.col("q_radius"))
+    known = asked.select(*keys, "q_cell", "q_radius", "q_block").distinct()
+    reach = known.join(bounds, F.col("q_block") == F.col("of"), "left").withColumn("reach", F.coalesce("bound", F.lit(float("inf"))) + F.col("q_radius"))
     # Dimensions without any pivot have one cell, ANYWHERE, on both sides.
     to = F.coalesce("v_cell", F.lit(ANYWHERE))
     reach = reach.join(F.broadcast(ways), ["_dim", "q_cell"], "left").withColumn("v_cell", to).fillna(0.0, ["apart"])
-    slack = 1e-7 * (F.col("apart") + F.when(F.col("reach") < float("inf"), F.col("reach")).otherwise(0.0) + 1.0)
 
-    def touches(radius):
-        return F.col("apart") <= F.col("reach") + radius + slack
+    def touches(apart, radius):
+        slack = 1e-7 * (apart + F.when(F.col("reach") < float("inf"), F.col("reach")).otherwise(0.0) + 1.0)
+        return apart <= F.col("reach") + radius + slack
 
-    # Cells first, by their widest ball, so that query blocks go only where one block at least is near enough.
+    # Cells first, by their widest ball and without the vectors: a query block carries the cells it has to look into.
     widest = vector_blocks.groupBy(*keys, "v_cell").agg(F.max("v_radius").alias("widest"))
-    going = reach.join(widest, [*keys, "v_cell"]).where(touches(F.col("widest"))).drop("widest")
-    return _to_all(going, buckets).join(dealt, [*keys, "v_cell", "_bucket"]).where(touches(F.col("v_radius")))
+    going = reach.join(widest, [*keys, "v_cell"]).where(touches(F.col("apart"), F.col("widest")))
+    going = going.groupBy(F.col("q_block").alias("of")).agg(
+        F.first("reach").alias("reach"), F.map_from_entries(F.collect_list(F.struct("v_cell", "apart"))).alias("cells")
+    )
+    sent = asked.join(going, F.col("q_block") == F.col("of")).drop("of")
+    apart = F.try_element_at("cells", F.col("v_cell"))
+    return _met(sent, vector_blocks, keys, buckets, sides, touches(apart, F.col("v_radius")))
 
 
 def with_metadata(found: DataFrame, vectors: DataFrame, *, id: str = "id", embedding: str = "embedding") -> DataFrame:
