@@ -400,3 +400,14 @@ def test_slices_of_odd_versions(spark):
         [("c", day[0], day[1], None, None, "match"), ("c", day[1], None, None, None, "extra"), ("d", day[1], None, None, "A", "missing")], key=repr
     )
     assert h.reconcile_slices(frames[0].limit(0), frames[1].limit(0)).isEmpty()
+
+
+def test_without_hot_customers_the_history_shuffles_its_events_once(spark):
+    rows = [(f"c{i % 7}", "ab"[i % 2], f"2024-01-{1 + i % 28:02d} 00:00:00") for i in range(80)] * 2
+    events = spark.createDataFrame(rows, "customer_id string, segment_at_event string, ts string").selectExpr(
+        "customer_id", "segment_at_event", "CAST(ts AS timestamp) AS event_ts"
+    )
+    dim = h.build_dim_customer(events)
+    plan = dim._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count(" Sort ") == 1
+    assert sorted(dim.collect()) == sorted(h.build_dim_customer(events, hot_rows=1, lane_rows=4).collect())

@@ -49,7 +49,8 @@ def build_dim_customer(
     Where one customer has several segments at one instant, the smallest counts.
     Rows without customer, segment or time cannot open a version and are ignored.
 
-    Copies collapse in the distinct before anything is sorted. Runs are then found per
+    Where no customer is hot, one shuffle by customer and one sort serve all steps; copies meet there as rows of one
+    instant. Else copies collapse in the distinct before anything is sorted. Runs are then found per
     customer, or per (customer, lane) where a customer has about `hot_rows` events or
     more. A lane's first and last run may continue in a neighbouring lane and meet in a
     window over the customer; runs strictly inside a lane are final already and keep the
@@ -63,9 +64,12 @@ def build_dim_customer(
     ).na.drop()
     if hot is None:
         hot = hot_customers(events, customer=customer, ts=ts, hot_rows=hot_rows, lane_rows=lane_rows)
-    points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot).drop("_hot")
+    laned = not hot.isEmpty()
+    if laned:
+        points = cut_lanes(points.distinct(), "customer_id", "valid_from", hot).drop("_hot")
 
-    in_lane = Window.partitionBy("customer_id", "_lane").orderBy("valid_from", "segment")
+    # Without lanes both windows have the same key, so that the second one finds its rows together and in order.
+    in_lane = Window.partitionBy("customer_id", *["_lane"] * laned).orderBy("valid_from", "segment")
     one_per_instant = points.withColumn("_before", F.lag("valid_from").over(in_lane)).where(
         F.col("_before").isNull() | (F.col("_before") != F.col("valid_from"))
     )
@@ -77,9 +81,9 @@ def build_dim_customer(
 
     opens_lane = F.col("_prev").isNull()
     closes_lane = F.col("_next").isNull()
-    edges = runs.withColumn("_stay", F.when(~(opens_lane | closes_lane), F.col("_lane")))
+    edges = runs.withColumn("_stay", F.when(~(opens_lane | closes_lane), F.col("_lane"))) if laned else runs
 
-    across = Window.partitionBy("customer_id", "_stay").orderBy("valid_from")
+    across = Window.partitionBy("customer_id", *["_stay"] * laned).orderBy("valid_from")
     carried = F.lag("segment").over(across)
     kept = edges.withColumn("_new", ~opens_lane | carried.isNull() | (carried != F.col("segment"))).withColumn(
         # Where the next version starts as seen from earlier lanes: here if this run
